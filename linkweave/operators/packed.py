@@ -121,3 +121,20 @@ def id_plain_form(c: Column) -> Column:
     bare = F.upper(F.regexp_replace(narrow, r"(?U)^[\s\p{Cf}]+|[\s\p{Cf}]+$", ""))
     pattern = r"(?U)^S\s*([123])[\s_\p{Pd}−]+0*([0-9]+?)(?:\.0*)?$"
     return F.when(F.regexp_like(bare, F.lit(pattern)), F.concat(F.lit("S"), F.regexp_extract(bare, pattern, 1), F.lit("-"), F.regexp_extract(bare, pattern, 2)))
+
+
+def id_code(plain: Column) -> Column:
+    """A plain-form id of at most 16 digits as a long that sorts as the id's text does; null for longer ones. Longs aggregate and join far cheaper than strings."""
+    digits = F.substring(plain, 4, 17)
+    d = F.length(digits)
+    left = F.rpad(digits, 16, "0").cast("long")  # text order is that of left-aligned digits, shorter ones first
+    code = (F.substring(plain, 2, 1).cast("long") * F.lit(10**16) + left) * F.lit(32) + d
+    return F.when(d <= 16, code)
+
+
+def id_of_code(code: Column) -> Column:
+    """The id that id_code made the code from."""
+    body = F.shiftright(code, 5)
+    digits = F.lpad(F.pmod(body, F.lit(10**16)).cast("string"), 16, "0")
+    source = ((body - F.pmod(body, F.lit(10**16))) / F.lit(10**16)).cast("int").cast("string")
+    return F.concat(F.lit("S"), source, F.lit("-"), F.substring(digits, F.lit(1), F.pmod(code, F.lit(32)).cast("int")))
