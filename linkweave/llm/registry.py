@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from linkweave.llm import components, sampling, splits
+from linkweave.llm import components, name_links, sampling, splits
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -65,6 +65,11 @@ def p4_report(spark, d):
     return sampling.sample_report(report, sampling.draw_sample(countries, report))
 
 
+@query
+def p5_found(spark, d):
+    return name_links.same_name_pairs(*_read(spark, d, "records", "pool"))
+
+
 _ID = r"""CASE WHEN regexp_full_match(trim(lower({0}), ' ' || chr(9) || chr(10) || chr(13) || chr(160)), 's[123][-_ –]+[0-9]+(\.0*)?')
  THEN 'S' || regexp_extract(lower({0}), 's([123])', 1) || '-' || regexp_extract(lower({0}), 's[123][-_ –]+0*([0-9]+)', 1) END"""
 
