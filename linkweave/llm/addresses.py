@@ -4,31 +4,29 @@ from __future__ import annotations
 
 import re
 import unicodedata
+from functools import lru_cache
 from typing import NamedTuple
 
 # Street types in full, and the ways they are shortened or mistyped.
 STREET_TYPES = {
-    "street": ("street", "str", "strt", "st", "streeet", "stret", "strete"),
+    "street": ("street", "str", "strt", "st", "streeet", "stret", "strete", "strasse"),
     "road": ("road", "raod", "rod", "rd", "roads"),
     "lane": ("lane", "lne", "la", "ln", "gali", "gully"),
     "avenue": ("avenue", "av", "aven", "avn", "ave", "avenida"),
     "boulevard": ("boulevard", "bvd", "blvd", "blvrd", "boul", "bd", "bld"),
     "terrace": ("terrace", "terr", "trce", "ter", "terace"),
-    "place": ("place", "plce", "plc", "pl"),
+    "place": ("place", "plce", "plc", "pl", "platz", "pltz"),
     "drive": ("drive", "driv", "drv", "dr"),
     "parkway": ("parkway", "pkw", "pkwy", "pky"),
     "court": ("court", "crt", "cort", "ct"),
     "cross": ("cross", "crs", "xcross", "xroad"),
     "marg": ("marg", "maarg", "mrg"),
     "allee": ("allee", "all"),
-    "platz": ("platz", "pltz"),
     "weg": ("weg", "wg"),
-    "gasse": ("gasse", "gass", "ga"),
-    "strasse": ("strasse",),
-    "rue": ("rue", "r"),
+    "gasse": ("gasse", "gass", "g"),
+    "rue": ("rue", "r", "rua"),
     "impasse": ("impasse", "imp"),
-    "chemin": ("chemin", "chem", "che"),
-    "rua": ("rua",),
+    "chemin": ("chemin", "chem", "ch"),
     "travessa": ("travessa", "trav", "tv"),
     "praca": ("praca", "pc", "pca"),
     "circle": ("circle", "cir"),
@@ -40,11 +38,11 @@ STREET_TYPES = {
     "trail": ("trail", "trl"),
 }
 #: Types that stand before the name.
-LEADING = ("rue", "impasse", "chemin", "rua", "travessa", "praca")
+LEADING = ("rue", "impasse", "chemin", "travessa", "praca")
 #: Types that stand before the name in some countries and after it in others.
 EITHER = ("avenue", "boulevard", "place")
 #: Types glued to the name in German.
-GLUED = ("strasse", "allee", "platz", "gasse", "weg", "str", "all", "pl", "wg")
+GLUED = ("strasse", "allee", "platz", "gasse", "weg", "str", "all", "pl", "wg", "g")
 PLACE_PREPOSITIONS = r"near|nr|opposite|opp|behind|beside|next\s+to|in\s+front\s+of|adjacent\s+to|adj|across\s+from|close\s+to|landmark"
 LANDMARK_ENDS = (
     "temple", "ground", "library", "mill", "square", "gate", "tank", "pump", "mall", "tower", "school", "depot",
@@ -57,7 +55,7 @@ PARTICLES = {"de", "du", "des", "la", "le", "les", "da", "do", "das", "dos", "d"
 
 _TYPE_OF = {w: t for t, words in STREET_TYPES.items() for w in words}
 _LANDMARK = re.compile(
-    rf"\b(?:{PLACE_PREPOSITIONS})\b[\s:.-]*((?:[^\W\d_]+[\s-]+){{0,3}}?(?:{'|'.join(LANDMARK_ENDS)})|[^,\d]{{3,40}}?(?=,|\d|$))(?=[\s,]|$)"
+    rf"\b(?:{PLACE_PREPOSITIONS})\b[\s:.-]*((?:[^\W\d_]+[\s-]+){{0,3}}?(?:{'|'.join(LANDMARK_ENDS)})(?:\s+(?:{'|'.join(LANDMARK_ENDS)}))?\b|[^,\d]{{3,40}}?(?=,|\d|$))(?=[\s,]|$)"
 )
 _UNIT = re.compile(rf"\b(?:{UNIT_WORDS})\b\s*(?:no\b\s*)?[-#:.]?\s*\d+\s*-?[a-z]?\b|#\s*\d+[a-z]?\b|\b\d+\s*-?[a-z]?\s+block\b|\bblock\s+\d+[a-z]?\b")
 _POSTCODES = (
@@ -89,11 +87,25 @@ def fold(text: str) -> str:
     """Lower case, marks and ligatures resolved, digits that stand for letters inside words put back."""
     text = unicodedata.normalize("NFKD", text.lower().replace("ß", "ss").replace("º", " ").replace("ª", " "))
     text = "".join(c for c in text if not unicodedata.combining(c))
-    return re.sub(r"(?<=[a-z])0(?=[a-z])|(?<=[a-z]{2})1(?=[a-z\s,.]|$)|(?<=[a-z]{3})0(?=[\s,.]|$)", lambda m: "o" if m[0] == "0" else "l", text)
+    return re.sub(r"(?<=[a-z])0(?=[a-z]{2})|(?<=[a-z]{2})0(?=[a-z])|(?<=[a-z]{2})1(?=[a-z\s,.]|$)|(?<=[a-z]{3})0(?=[\s,.]|$)", lambda m: "o" if m[0] == "0" else "l", text)
 
 
+_LONG_TYPES = [w for w in _TYPE_OF if len(w) >= 4]
+_BY_DELETION: dict[str, list[str]] = {}
+for _w in _LONG_TYPES:
+    for _d in {_w[:i] + _w[i + 1 :] for i in range(len(_w))} | {_w}:
+        _BY_DELETION.setdefault(_d, []).append(_w)
+
+
+@lru_cache(maxsize=200_000)
 def street_type(word: str) -> str:
-    return _TYPE_OF.get(word.rstrip("."), "")
+    """The street type that a word means: as written, or with one letter more, less, other or exchanged; '' for other words."""
+    if word in _TYPE_OF:
+        return _TYPE_OF[word]
+    if len(word) < 4:
+        return ""
+    near = {w for d in {word[:i] + word[i + 1 :] for i in range(len(word))} | {word} for w in _BY_DELETION.get(d, ())}
+    return _TYPE_OF[min(near, key=lambda w: (abs(len(w) - len(word)), w))] if near else ""
 
 
 def parse_address(address: str | None, landmark: str | None = None) -> Address:
@@ -119,7 +131,7 @@ def parse_address(address: str | None, landmark: str | None = None) -> Address:
             code, text = late[1], f"{text[: late.start()]} , {text[late.end():]}"
         elif number.isdigit() and len(number) == 4 and not text[at:].strip(" ,.-") and int(number) > 1250:
             number, code = "", number  # a lone four-digit number at the end is a postcode
-    street, kind, text = _street(text)
+    street, kind, text = ("", "", text) if mark and not number else _street(text)  # a landmark and a place without a house
     places = [w for w in re.findall(r"[a-z]{2,}", text) if w not in NUMBER_WORDS and w not in ("pin", "and", "the", "district", "pincode", "zip", "cep")]
     return Address(number, street, kind, code, mark, " ".join(places))
 
@@ -155,7 +167,7 @@ def _street(text: str) -> tuple[str, str, str]:
         else:
             kind = street_type(tokens[i])
             before = kind not in LEADING
-        if not kind or tokens[i] in ("r", "la", "st", "pl", "all", "che", "ga", "pc") and tokens[i + 1 : i + 2] != ["."] and order == 0 and kind not in LEADING:
+        if not kind or tokens[i] in ("r", "la", "st", "pl", "all", "ch", "g", "pc") and tokens[i + 1 : i + 2] != ["."] and order == 0 and kind not in LEADING:
             continue
         name: list[int] = []
         if before:
@@ -181,9 +193,7 @@ def _street(text: str) -> tuple[str, str, str]:
     for i in words:  # a type glued to the name
         for ending in GLUED:
             if tokens[i].endswith(ending) and len(tokens[i]) >= len(ending) + 4 and (len(ending) > 3 or tokens[i + 1 : i + 2] == ["."] or ending == "weg"):
-                kind = _TYPE_OF.get(ending, ending)
-                kind = {"street": "strasse", "place": "platz"}.get(kind, kind)
-                return tokens[i][: -len(ending)], kind, " ".join(t for k, t in enumerate(tokens) if k != i)
+                return tokens[i][: -len(ending)], _TYPE_OF[ending], " ".join(t for k, t in enumerate(tokens) if k != i)
     return "", "", " ".join(tokens)
 
 
