@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from linkweave.llm import components, location_links, name_links, sampling, splits
+from linkweave.llm import components, entity_matching, location_links, name_links, sampling, splits
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -75,6 +75,18 @@ def p6_found(spark, d):
     return location_links.same_location_pairs(*_read(spark, d, "records", "pool"))
 
 
+@query
+def p7_matches(spark, d):
+    return entity_matching.match_entities(*_read(spark, d, "records", "pool", "train_matches"))
+
+
+@query
+def p7_found(spark, d):
+    records, pool, matches = _read(spark, d, "records", "pool", "train_matches")
+    pairs = entity_matching.unmatched_records(entity_matching.match_entities(records, pool, matches), matches)
+    return pairs.select("source1_entity_id", "candidate_entity_id")
+
+
 _ID = r"""CASE WHEN regexp_full_match(trim(lower({0}), ' ' || chr(9) || chr(10) || chr(13) || chr(160)), 's[123][-_ –]+[0-9]+(\.0*)?')
  THEN 'S' || regexp_extract(lower({0}), 's([123])', 1) || '-' || regexp_extract(lower({0}), 's[123][-_ –]+0*([0-9]+)', 1) END"""
 
