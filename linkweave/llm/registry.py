@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from linkweave.llm import components, entity_matching, location_links, name_links, sampling, splits
+from linkweave.llm import abuse, components, entity_matching, location_links, mixing, name_links, packing, sampling, splits
+from linkweave.llm.tokens import with_token_counts
+from linkweave.plans.lineage import Scratch
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -87,6 +89,50 @@ def p7_found(spark, d):
     return pairs.select("source1_entity_id", "candidate_entity_id")
 
 
+def _sizes(spark, d):
+    """Token counts, written once: both packing and mixing read them several times."""
+    return Scratch(spark, "sizes").write(with_token_counts(*_read(spark, d, "documents")))
+
+
+@query
+def p8_containers(spark, d):
+    return packing.fill_containers(_sizes(spark, d))
+
+
+@query
+def p8_report(spark, d):
+    return packing.packing_report(packing.fill_containers(_sizes(spark, d)))
+
+
+@query
+def p9_mixture(spark, d):
+    return mixing.mix_sources(_sizes(spark, d), *_read(spark, d, "source_weights"))[0]
+
+
+@query
+def p9_report(spark, d):
+    return mixing.mixture_report(*mixing.mix_sources(_sizes(spark, d), *_read(spark, d, "source_weights")))
+
+
+def _scores(spark, d):
+    return abuse.score_documents(*_read(spark, d, "documents", "doc_labels"))
+
+
+@query
+def p10_found(spark, d):
+    return _scores(spark, d).where("is_case").select("doc_id")
+
+
+@query
+def p10_scores(spark, d):
+    return _scores(spark, d)
+
+
+@query
+def p10_rates(spark, d):
+    return abuse.source_rates(_scores(spark, d))
+
+
 _ID = r"""CASE WHEN regexp_full_match(trim(lower({0}), ' ' || chr(9) || chr(10) || chr(13) || chr(160)), 's[123][-_ –]+[0-9]+(\.0*)?')
  THEN 'S' || regexp_extract(lower({0}), 's([123])', 1) || '-' || regexp_extract(lower({0}), 's[123][-_ –]+0*([0-9]+)', 1) END"""
 
