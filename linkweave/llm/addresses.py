@@ -69,6 +69,9 @@ _HOUSE = re.compile(r"(?<![a-z\d])(\d{1,4})(?:\s*-\s*|\s*)([a-dfgh])?(?![a-z\d])
 _ORDINAL_PLACE = re.compile(r"\b(phase|sector|ward|zone|block)\s+\d+\b")
 
 
+_DIGIT_LETTER = re.compile(r"(?<=[a-z])0(?=[a-z]{2})|(?<=[a-z]{2})0(?=[a-z])|(?<=[a-z]{2})1(?=[a-z\s,.]|$)|(?<=[a-z]{3})0(?=[\s,.]|$)")
+
+
 class Address(NamedTuple):
     """Parts of an address; '' where there is none. places: the other words in order, joined by spaces."""
 
@@ -85,9 +88,11 @@ EMPTY = Address("", "", "", "", "", "")
 
 def fold(text: str) -> str:
     """Lower case, marks and ligatures resolved, digits that stand for letters inside words put back."""
-    text = unicodedata.normalize("NFKD", text.lower().replace("ß", "ss").replace("º", " ").replace("ª", " "))
-    text = "".join(c for c in text if not unicodedata.combining(c))
-    return re.sub(r"(?<=[a-z])0(?=[a-z]{2})|(?<=[a-z]{2})0(?=[a-z])|(?<=[a-z]{2})1(?=[a-z\s,.]|$)|(?<=[a-z]{3})0(?=[\s,.]|$)", lambda m: "o" if m[0] == "0" else "l", text)
+    text = text.lower()
+    if not text.isascii():
+        text = unicodedata.normalize("NFKD", text.replace("ß", "ss").replace("º", " ").replace("ª", " "))
+        text = "".join(c for c in text if not unicodedata.combining(c))
+    return _DIGIT_LETTER.sub(lambda m: "o" if m[0] == "0" else "l", text) if "0" in text or "1" in text else text
 
 
 _LONG_TYPES = [w for w in _TYPE_OF if len(w) >= 4]

@@ -77,10 +77,23 @@ def known_word(word: str) -> str:
     return min(near, key=lambda w: (abs(len(w) - len(word)), w), default="")
 
 
+@lru_cache(maxsize=200_000)
+def two_trades(word: str) -> tuple[str, ...]:
+    """The two trade words that word is when they are written together; () for other words."""
+    for i in range(4, len(word) - 3):
+        a, b = known_word(word[:i]), known_word(word[i:])
+        if a in _TRADE_OF and b in _TRADE_OF:
+            return _TRADE_OF[a], _TRADE_OF[b]
+    return ()
+
+
 def parse_part(text: str) -> Name:
     family, given, initial, trades = [], "", "", []
     for word in re.findall(r"[a-z]+", text.replace("'", "").replace("int'l", "intl")):
         known = known_word(word)
+        if not known and len(word) >= 8 and (both := two_trades(word)):
+            trades += both
+            continue
         if known and (known in LEGAL or known in FILLERS) and len(word) > 1:
             continue
         if known in _TRADE_OF:
@@ -92,6 +105,8 @@ def parse_part(text: str) -> Name:
             initial = initial or word
         else:
             family.append(word)
+    if len(family) > 2:  # a short leftover beside two names is a misspelt trade word
+        family = [w for w in family if len(w) > 4] if sum(len(w) > 4 for w in family) > 1 else family
     if not family:  # nothing else tells it apart
         family, trades = (sorted(set(trades)) or ([given] if given else [])), []
     return Name(" ".join(sorted(set(family))), given or (f"?{initial}" if initial else ""), " ".join(sorted(set(trades))))
