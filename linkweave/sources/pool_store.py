@@ -16,11 +16,11 @@ TABLES = ("pool", "address_keys", "name_anchor")
 
 
 def file_fingerprint(spark: SparkSession, path: str) -> dict[str, str]:
-    """Rows (lines but the header), bytes and a digest. The digest is that of the sorted digests of the file's lines' counts, so it is computed in parallel over files of any size."""
+    """Rows (lines but each file's header), bytes and a digest of a file or folder: the sum of the lines' hashes, so that files of any size are read in parallel."""
     lines = spark.read.text(path)
-    per_line = lines.select(F.xxhash64("value").cast("decimal(38,0)").alias("h"), F.octet_length("value").cast("long").alias("b"))
-    row = per_line.agg(F.count(F.lit(1)).alias("n"), F.sum("h").alias("h"), F.sum("b").alias("b")).first()
-    return {"rows": str(max(0, row["n"] - 1)), "bytes": str(row["b"] or 0), "digest": str(row["h"] or 0)}
+    per_line = lines.select(F.xxhash64("value").cast("decimal(38,0)").alias("h"), F.octet_length("value").cast("long").alias("b"), F.input_file_name().alias("f"))
+    row = per_line.agg(F.count(F.lit(1)).alias("n"), F.sum("h").alias("h"), F.sum("b").alias("b"), F.count_distinct("f").alias("f")).first()
+    return {"rows": str(row["n"] - row["f"]), "bytes": str(row["b"] or 0), "digest": str(row["h"] or 0)}
 
 
 def expected_manifest(spark: SparkSession, spec: PoolSpec) -> dict[str, str]:
