@@ -69,9 +69,14 @@ _HOUSE = re.compile(r"(?<![a-z\d])(\d{1,4})(?:\s*-\s*|\s*)([a-dfgh])?(?![a-z\d])
 _ORDINAL_PLACE = re.compile(r"\b(phase|sector|ward|zone|block)\s+\d+\b")
 
 
+_WORDS_AND_MARKS = re.compile(r"[a-z]+|[,|.-]")
 _DIGIT_LETTER = re.compile(r"(?<=[a-z])0(?=[a-z]{2})|(?<=[a-z]{2})0(?=[a-z])|(?<=[a-z]{2})1(?=[a-z\s,.]|$)|(?<=[a-z]{3})0(?=[\s,.]|$)")
 
 
+_HINTS = ("near", "nr", "opp", "behind", "beside", "next", "front", "adj", "across", "close", "landmark")
+_UNIT_HINTS = ("#", "unit", "suite", "ste", "shop", "ap", "fl", "room", "office", "level", "block")
+
+
 class Address(NamedTuple):
     """Parts of an address; '' where there is none. places: the other words in order, joined by spaces."""
 
@@ -95,7 +100,7 @@ def fold(text: str) -> str:
     return _DIGIT_LETTER.sub(lambda m: "o" if m[0] == "0" else "l", text) if "0" in text or "1" in text else text
 
 
-_LONG_TYPES = [w for w in _TYPE_OF if len(w) >= 4]
+_LONG_TYPES = [w for w in _TYPE_OF if len(w) >= 5]
 _BY_DELETION: dict[str, list[str]] = {}
 for _w in _LONG_TYPES:
     for _d in {_w[:i] + _w[i + 1 :] for i in range(len(_w))} | {_w}:
@@ -107,7 +112,7 @@ def street_type(word: str) -> str:
     """The street type that a word means: as written, or with one letter more, less, other or exchanged; '' for other words."""
     if word in _TYPE_OF:
         return _TYPE_OF[word]
-    if len(word) < 4:
+    if len(word) < 5:
         return ""
     near = {w for d in {word[:i] + word[i + 1 :] for i in range(len(word))} | {word} for w in _BY_DELETION.get(d, ())}
     return _TYPE_OF[min(near, key=lambda w: (abs(len(w) - len(word)), w))] if near else ""
@@ -119,15 +124,15 @@ def parse_address(address: str | None, landmark: str | None = None) -> Address:
     if not text or text in ("nan", "none", "null", "n/a", "na", "\\n"):
         return EMPTY._replace(landmark=_landmark_name(fold(landmark or "")))
     text = text.replace("x-cross", "cross").replace("park way", "parkway").replace("main road", "mainroad").replace("mn road", "mainroad").replace("main raod", "mainroad").replace("main rod", "mainroad")
-    found = _LANDMARK.search(text)
+    found = _LANDMARK.search(text) if any(p in text for p in _HINTS) else None
     mark = ""
     if found:
         mark = _landmark_name(found[1])
         text = f"{text[: found.start()]} , {text[found.end():]}"
     elif landmark:
         mark = _landmark_name(fold(landmark))
-    text = _UNIT.sub(" , ", text)
-    text = _ORDINAL_PLACE.sub(lambda m: m[1] + " ", text)
+    text = _UNIT.sub(" , ", text) if any(p in text for p in _UNIT_HINTS) else text
+    text = _ORDINAL_PLACE.sub(lambda m: m[1] + " ", text) if "phase" in text or "sector" in text or "ward" in text or "zone" in text else text
     text, code = _postcode(text)
     number, text, at = _number(text)
     if not code:
@@ -163,9 +168,13 @@ def _number(text: str) -> tuple[str, str, int]:
 
 
 def _street(text: str) -> tuple[str, str, str]:
-    """Name and type of the street, and the text without them."""
-    tokens = re.findall(r"[a-z]+|[,|.-]", text)
+    """Name and type of the street, and the text without them. A name that is a type itself (park lane, court road) is taken only where there is no other."""
+    tokens = _WORDS_AND_MARKS.findall(text)
     words = [i for i, t in enumerate(tokens) if t.isalpha()]
+    return _named_street(tokens, words, False) or _named_street(tokens, words, True) or ("", "", " ".join(tokens))
+
+
+def _named_street(tokens: list[str], words: list[int], any_name: bool) -> tuple[str, str, str] | None:
     for order, i in enumerate(words):
         if tokens[i] == "mainroad":
             kind, before = "main road", True
@@ -179,7 +188,7 @@ def _street(text: str) -> tuple[str, str, str]:
             j = i - 1
             while j >= 0 and tokens[j] in ("-", ".") or j >= 0 and tokens[j] in NUMBER_WORDS:
                 j -= 1
-            while j >= 0 and tokens[j].isalpha() and tokens[j] not in NUMBER_WORDS and not street_type(tokens[j]) and len(name) < 1:
+            while j >= 0 and tokens[j].isalpha() and tokens[j] not in NUMBER_WORDS and (any_name or not street_type(tokens[j])) and len(name) < 1:
                 name.insert(0, j)
                 j -= 1
             if kind in EITHER and (not name or tokens[i + 1 : i + 2] and _leads(tokens, i)):
@@ -199,7 +208,7 @@ def _street(text: str) -> tuple[str, str, str]:
         for ending in GLUED:
             if tokens[i].endswith(ending) and len(tokens[i]) >= len(ending) + 4 and (len(ending) > 3 or tokens[i + 1 : i + 2] == ["."] or ending == "weg"):
                 return tokens[i][: -len(ending)], _TYPE_OF[ending], " ".join(t for k, t in enumerate(tokens) if k != i)
-    return "", "", " ".join(tokens)
+    return None
 
 
 def _leads(tokens: list[str], i: int) -> bool:
