@@ -5,20 +5,20 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from linkweave.operators.packed import id_code, id_of_code, id_plain_form
 from linkweave.plans.lineage import Scratch
 
 #: A vertex is hot if it holds more than this share of all rows; there are then at most 1 / HOT_SHARE hot vertices.
 HOT_SHARE = 1 / 500
 
 
-def _with_minimum(cluster: DataFrame, total: int) -> DataFrame:
+def _with_minimum(cluster: DataFrame, minima: DataFrame, least: int) -> DataFrame:
     """Each (v, u) with the minimum m of v's cluster.
 
-    Minima are aggregated before the shuffle. Rows of hot vertices stay where they are and get theirs from a broadcast of at most
-    1 / HOT_SHARE rows, so the join never brings a hot vertex's cluster into one task.
+    Rows of hot vertices, those with more than least rows, stay where they are and get theirs from a broadcast of at most 1 / HOT_SHARE rows, so the join never
+    brings a hot vertex's cluster into one task.
     """
-    minima = cluster.groupBy("v").agg(F.min("u").alias("m"), F.count(F.lit(1)).alias("n"))
-    hot = F.col("n") > max(10_000, int(total * HOT_SHARE))
+    hot = F.col("n") > least
     hot_rows = minima.where(hot).select("v", "m").collect()  # at most 1 / HOT_SHARE rows
     if not hot_rows:
         return cluster.join(minima.select("v", "m"), "v")
@@ -32,37 +32,37 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b", max_round
     """(id, group_id): every id of an edge with the smallest id it is linked to, directly or through others.
 
     Hash-to-min: a vertex holds a cluster, at first itself and its neighbours, as rows (v, u). In each round it sends the whole cluster
-    to the cluster's minimum and that minimum to all others, until nothing changes; then every vertex but the minima holds only its
-    minimum. A round is one aggregation, one join and one distinct over rows; no set is ever gathered. Rounds grow with
+    to the cluster's minimum and that minimum to all others. It is stable once every vertex but the minima holds nothing but its minimum: sending changes nothing then.
+    A round is one aggregation, one join and one distinct over rows; no set is ever gathered, and minima are aggregated before they are shuffled. Rounds grow with
     the logarithm of the longest chain. Each round is written to the shared folder.
 
     Edges with a null end are ignored; an edge from an id to itself makes it a group of its own; repeated edges count once.
     Without edges the result is empty. Ids compare as their type does (strings by code point).
     """
     scratch = Scratch(edges.sparkSession, "components")
-    links = edges.select(F.col(a).alias("v"), F.col(b).alias("u")).where("v IS NOT NULL AND u IS NOT NULL")
-    both = links.select("v", "u", F.explode(F.array(F.lit(0), F.lit(1), F.lit(2))).alias("k"))
-    v = F.when(F.col("k") == 0, F.col("v")).otherwise(F.when(F.col("k") == 1, F.col("u")).otherwise(F.least("v", "u")))
-    u = F.when(F.col("k") == 0, F.col("u")).otherwise(F.when(F.col("k") == 1, F.col("v")).otherwise(F.least("v", "u")))
-    selves = lambda df: df.unionByName(df.select("v", F.col("v").alias("u")))
-    cluster = scratch.write(selves(both.select(v.alias("v"), u.alias("u"))).distinct())
-    state = _state(cluster)
+    links = edges.select(F.col(a).alias("x"), F.col(b).alias("y")).where("x IS NOT NULL AND y IS NOT NULL")
+    row = lambda v, u: F.struct(F.col(v).alias("v"), F.col(u).alias("u"))
+    cluster = scratch.write(links.select(F.explode(F.array(row("x", "y"), row("y", "x"), row("x", "x"), row("y", "y"))).alias("r")).select("r.*").distinct())
     for _ in range(max_rounds):
-        sent = _with_minimum(cluster, state[0])
-        pairs = sent.select(F.explode(F.array(F.struct(F.col("m").alias("v"), F.col("u").alias("u")), F.struct(F.col("u").alias("v"), F.col("m").alias("u")))).alias("x"))
-        after = scratch.write(pairs.select("x.v", "x.u").distinct())
-        new_state = _state(after)
+        minima = scratch.write(cluster.groupBy("v").agg(F.min("u").alias("m"), F.count(F.lit(1)).alias("n")))
+        total, unsettled = minima.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count_if((F.col("m") < F.col("v")) & (F.col("n") > 1))).first()
+        if not unsettled:
+            return minima.select(F.col("v").alias("id"), F.col("m").alias("group_id"))
+        sent = _with_minimum(cluster, minima, max(10_000, int(total * HOT_SHARE)))
+        after = scratch.write(sent.select(F.explode(F.array(row("m", "u"), row("u", "m"))).alias("r")).select("r.*").distinct())
         scratch.drop(cluster)
+        scratch.drop(minima)
         cluster = after
-        if new_state == state:
-            return cluster.groupBy("v").agg(F.min("u").alias("group_id")).withColumnRenamed("v", "id")
-        state = new_state
     raise RuntimeError(f"not stable after {max_rounds} rounds")
 
 
-def _state(cluster: DataFrame) -> tuple:
-    row = cluster.agg(F.count(F.lit(1)), F.sum(F.xxhash64("v", "u").cast("decimal(38,0)"))).first()
-    return row[0], row[1]
+def plain_id_components(links: DataFrame) -> DataFrame:
+    """connected_components of links (a, b) between plain-form ids, on longs that sort alike; on the strings if some id has more than 16 digits."""
+    scratch = Scratch(links.sparkSession, "links")
+    coded = scratch.write(links.where("a IS NOT NULL AND b IS NOT NULL").select(id_code(F.col("a")).alias("a"), id_code(F.col("b")).alias("b")))
+    if coded.where("a IS NULL OR b IS NULL").limit(1).count():
+        return connected_components(links)
+    return connected_components(coded).select(id_of_code(F.col("id")).alias("id"), id_of_code(F.col("group_id")).alias("group_id"))
 
 
 def linked_records(pairs: DataFrame, left: str, right: str, label: str = "label") -> DataFrame:
@@ -70,7 +70,5 @@ def linked_records(pairs: DataFrame, left: str, right: str, label: str = "label"
 
     An id that denotes no record in any notation makes no link. Pairs with label 0 or null are ignored, also where another row of the pair has label 1.
     """
-    from linkweave.operators.packed import id_plain_form
-
     edges = pairs.where(F.col(label) == 1).select(id_plain_form(F.col(left)).alias("a"), id_plain_form(F.col(right)).alias("b"))
-    return connected_components(edges.distinct()).select(F.col("id").alias("record_id"), "group_id")
+    return plain_id_components(edges).select(F.col("id").alias("record_id"), "group_id")

@@ -9,8 +9,9 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from linkweave.llm.components import connected_components
+from linkweave.llm.components import plain_id_components
 from linkweave.operators.packed import id_plain_form, split_packed
+from linkweave.plans.lineage import Scratch
 
 SPLITS = ("train", "validation", "test")
 FRACTIONS = (0.70, 0.15, 0.15)
@@ -28,14 +29,15 @@ def key_groups(matches: DataFrame, pairs: DataFrame) -> DataFrame:
     ones, share a group; group_id is its smallest plain-form id. A value that denotes no record is a group of its own, under
     itself. Nulls have no group. Either table may be empty; other columns are not read.
     """
+    scratch = Scratch(matches.sparkSession, "splits")
     written = matches.select("source1_entity_id").unionByName(pairs.select("source1_entity_id")).where("source1_entity_id IS NOT NULL").distinct()
     keyed = written.select(F.col("source1_entity_id").alias("written"), id_plain_form(F.col("source1_entity_id")).alias("plain"))
     listed = split_packed(matches, "matched_entity_ids", ["source1_entity_id"], "value")
     links = listed.where(F.regexp_like("value", F.lit(r"^S[23]-[0-9]+$"))).select(id_plain_form(F.col("source1_entity_id")).alias("a"), F.col("value").alias("b"))
-    groups = connected_components(links.where("a IS NOT NULL").distinct()).where("id LIKE 'S1-%'")
+    groups = plain_id_components(links.where("a IS NOT NULL")).where("id LIKE 'S1-%'")
     # S1- sorts before S2- and S3-, so the smallest id of a group is a source-1 id
     joined = keyed.join(groups.select(F.col("id").alias("plain"), F.col("group_id").alias("_g")), "plain", "left")
-    return joined.select("written", "plain", F.coalesce("_g", "plain", "written").alias("group_id"))
+    return scratch.write(joined.select("written", "plain", F.coalesce("_g", "plain", "written").alias("group_id")))
 
 
 def shared_keys(groups: DataFrame) -> DataFrame:
