@@ -17,20 +17,23 @@ SLIPS = 2
 #: A spelling or postcode of a street counts as a slip if it is more than this many times rarer than the usual one.
 RARER = 5
 
-_PARTS = T.StructType([T.StructField(f, T.StringType()) for f in Address._fields])
+@pandas_udf(T.StringType())
+def _parsed(address: pd.Series, landmark: pd.Series) -> pd.Series:
+    return pd.Series(["\t".join(parse_address(a, b)) for a, b in zip(address, landmark)], dtype="object")
 
 
-@pandas_udf(_PARTS)
-def parse_addresses(address: pd.Series, landmark: pd.Series) -> pd.DataFrame:
-    return pd.DataFrame([parse_address(a, b) for a, b in zip(address, landmark)], columns=list(Address._fields), dtype="object")
+def parse_addresses(address: str, landmark: str) -> Column:
+    """The parts of an address as an array in the order of Address. They cross from Python as one text, which is far cheaper than a struct."""
+    return F.split(_parsed(address, landmark), "\t")
 
 
 def addressed_rows(records: DataFrame, pool: DataFrame) -> DataFrame:
-    """(entity_id, number, street, kind, postcode, landmark, places): distinct address parts of each row; places as words. Rows without any part are left out."""
+    """(entity_id, number, street, kind, postcode, landmark, places): the address parts of each row, of repeated deliveries too; places as words. Rows without any part are left out."""
     texts = records.select("entity_id", F.col("business_address_norm").alias("address"), F.lit(None).cast("string").alias("landmark")).unionByName(
         pool.select("entity_id", "address", "landmark")
     )
-    rows = texts.where("entity_id IS NOT NULL").select("entity_id", parse_addresses("address", "landmark").alias("p")).select("entity_id", "p.*").distinct()
+    parts = texts.where("entity_id IS NOT NULL").select("entity_id", parse_addresses("address", "landmark").alias("p"))
+    rows = parts.select("entity_id", *(F.get("p", F.lit(k)).alias(c) for k, c in enumerate(Address._fields)))
     return rows.where("street <> '' OR landmark <> ''").withColumn("places", F.filter(F.split("places", " "), lambda w: F.length(w) > 2))
 
 
@@ -52,81 +55,78 @@ def street_gazetteer(rows: DataFrame) -> DataFrame:
     return top.join(best, "street").where(~slip).select("postcode", "street", "n")
 
 
-def resolve_streets(rows: DataFrame, scratch: Scratch) -> DataFrame:
-    """rows (with an id column row_id) of houses, plus at: the street they are in as 'postcode|street', and candidates: how many streets were possible.
+def resolve_streets(houses: DataFrame, scratch: Scratch) -> DataFrame:
+    """houses (rows with a street) plus at: the street they are in as 'postcode|street', and candidates: how many streets were possible.
 
     Top down: region and locality by postcode, then the street among those of that level. A level that is missing or matches nothing hands on the
     candidates of the level above: first the streets of the postcode, then those of that name whose postcode is missing here or differs by a slip, then
     those of a place named in the row. Where several remain none is chosen, and the row keeps a street of its own, named by what is written.
     """
-    gazetteer = scratch.write(street_gazetteer(rows))
-    houses = rows.where("street <> ''").select("row_id", "street", "postcode", "places")
+    gazetteer = scratch.write(street_gazetteer(houses))
     # level 1 and 2: the postcode's own street
-    g = gazetteer.select("postcode", F.col("street").alias("g_street"), "n")
-    by_code = houses.join(g, "postcode", "left")
+    g = gazetteer.select("postcode", F.col("street").alias("g_street"))
     agreed = F.col("g_street").isNotNull() & _near("street", "g_street")
-    first = scratch.write(by_code.select("row_id", "street", "postcode", "places", "n", F.when(agreed, F.concat_ws("|", "postcode", "g_street")).alias("at")))
-    found = first.where("at IS NOT NULL").select("row_id", "at", F.lit(1).alias("candidates"))
-    open_rows = first.where("at IS NULL").select("row_id", "street", "postcode", "places")
+    first = scratch.write(houses.join(g, "postcode", "left").withColumn("at", F.when(agreed, F.concat_ws("|", "postcode", "g_street"))).drop("g_street"))
+    open_rows = first.where("at IS NULL").withColumn("row_id", F.xxhash64("street", "postcode", F.array_join("places", " ")))
+    asked = scratch.write(open_rows.groupBy("row_id").agg(F.first("street").alias("street"), F.first("postcode").alias("postcode"), F.first("places").alias("places")))
     # level 3: the street by its name; the place words tell streets of one name apart
-    towns = (
-        first.where("at IS NOT NULL").select("at", F.explode("places").alias("place")).groupBy("at", "place").agg(F.count(F.lit(1)).alias("n"))
-    )  # the words written with each street
+    towns = first.where("at IS NOT NULL").select("at", F.explode("places").alias("place")).groupBy("at", "place").agg(F.count(F.lit(1)).alias("n"))
     usual = towns.join(towns.groupBy("at").agg(F.max("n").alias("m")), "at").where(F.col("n") * RARER >= F.col("m")).select("at", "place")
-    usual = scratch.write(usual)
+    usual = scratch.write(usual)  # the words written with each street
     code_fits = (F.col("postcode") == "") | (F.levenshtein("postcode", "g_postcode", 1) >= 0)
-    named = open_rows.join(gazetteer.select("street", F.col("postcode").alias("g_postcode")), "street").where(code_fits)
-    by_name = named.select("row_id", "places", F.concat_ws("|", "g_postcode", "street").alias("at"))
+    named = asked.join(gazetteer.select("street", F.col("postcode").alias("g_postcode")), "street").where(code_fits)
+    by_name = named.select("row_id", F.concat_ws("|", "g_postcode", "street").alias("at"))
     # level 4: streets of a place that the row names, by the start or the end of the street's name
     ends = lambda c: F.array_distinct(F.array(F.left(c, F.lit(3)), F.right(c, F.lit(3))))
     g_street = F.substring_index("at", "|", -1)
     index = usual.select("place", "at", F.explode(ends(g_street)).alias("end"), g_street.alias("g_street"))
-    unnamed = open_rows.join(by_name.select("row_id").distinct(), "row_id", "left_anti")
-    asked = unnamed.select("row_id", "street", "postcode", F.explode("places").alias("place")).select("*", F.explode(ends(F.col("street"))).alias("end"))
+    unnamed = asked.join(by_name.select("row_id").distinct(), "row_id", "left_anti").select("row_id", "street", "postcode", F.explode("places").alias("place"))
     near_code = (F.col("postcode") == "") | (F.levenshtein("postcode", F.substring_index("at", "|", 1), 1) >= 0)
-    by_place = asked.join(index, ["place", "end"]).where(_near("street", "g_street") & near_code).select("row_id", "at").distinct()
-    candidates = by_name.select("row_id", "at").unionByName(by_place)
-    votes = open_rows.select("row_id", F.explode("places").alias("place")).join(candidates, "row_id").join(usual, ["at", "place"]).groupBy("row_id", "at").agg(F.count(F.lit(1)).alias("votes"))
+    by_place = unnamed.select("*", F.explode(ends(F.col("street"))).alias("end")).join(index, ["place", "end"]).where(_near("street", "g_street") & near_code).select("row_id", "at").distinct()
+    candidates = scratch.write(by_name.unionByName(by_place))
+    votes = candidates.join(asked.select("row_id", F.explode("places").alias("place")), "row_id").join(usual, ["at", "place"]).groupBy("row_id", "at").agg(F.count(F.lit(1)).alias("votes"))
     weighed = candidates.join(votes, ["row_id", "at"], "left").withColumn("votes", F.coalesce("votes", F.lit(0)))
-    rank = Window.partitionBy("row_id").orderBy(F.desc("votes"))
-    ranked = weighed.withColumns({"_r": F.rank().over(rank), "candidates": F.count(F.lit(1)).over(Window.partitionBy("row_id"))}).where("_r = 1")
-    chosen = ranked.groupBy("row_id").agg(F.min("at").alias("at"), F.count(F.lit(1)).alias("_left"), F.first("candidates").cast("int").alias("candidates")).where("_left = 1")
-    resolved = found.unionByName(chosen.select("row_id", "at", "candidates"))
+    most = weighed.groupBy("row_id").agg(F.max("votes").alias("_most"), F.count(F.lit(1)).cast("int").alias("candidates"))
+    chosen = weighed.join(most, "row_id").where(F.col("votes") == F.col("_most")).groupBy("row_id", "candidates").agg(F.min("at").alias("at"), F.count(F.lit(1)).alias("_left"))
     own = F.concat_ws("|", "postcode", "street", F.when(F.col("postcode") == "", F.array_join(F.array_sort("places"), " ")))
-    return rows.where("street <> ''").join(resolved, "row_id", "left").withColumns({"at": F.coalesce("at", own), "candidates": F.coalesce("candidates", F.lit(0))})
+    settled = open_rows.drop("at").join(chosen.where("_left = 1").select("row_id", "at", "candidates"), "row_id", "left").drop("row_id")
+    settled = settled.withColumns({"at": F.coalesce("at", own), "candidates": F.coalesce("candidates", F.lit(0))})
+    return first.where("at IS NOT NULL").withColumn("candidates", F.lit(1)).unionByName(settled)
 
 
 def resolve_locations(rows: DataFrame, scratch: Scratch) -> DataFrame:
-    """(entity_id, location, candidates) of addressed rows; location is 'postcode|street|type|number' or, for a landmark that no row gives an address for, its own.
+    """(entity_id, location, candidates): one location of each addressed id, 'postcode|street|type|number' or, for a landmark that no row gives an address for, its own.
 
     Below the street come its type and the house number with its letter, which must be equal; units, floors and shops are not looked at. A row that
     gives only a landmark inherits the houses that other rows give with it, by postcode and else by place; if that is more than one house, the row
-    stays with the landmark.
+    stays with the landmark. Of several deliveries of an id the one that was placed with the fewest open candidates counts, houses before landmarks.
     """
-    rows = scratch.write(rows.withColumn("row_id", F.xxhash64("entity_id", "number", "street", "kind", "postcode", "landmark", F.array_join("places", " "))))
-    streets = resolve_streets(rows, scratch)
-    houses = scratch.write(streets.withColumn("location", F.concat_ws("|", "at", "kind", "number")))
-    marks = rows.where("street = '' AND landmark <> ''").select("row_id", "entity_id", "postcode", F.col("landmark").alias("mark"), "places")
-    known = houses.where("landmark <> '' AND number <> ''")
+    rows = scratch.write(rows)
+    houses = scratch.write(resolve_streets(rows.where("street <> '' AND number <> ''"), scratch).select("entity_id", F.concat_ws("|", "at", "kind", "number").alias("location"), "candidates", "landmark", "places"))
+    marks = rows.where("number = '' AND landmark <> ''").select("entity_id", "postcode", F.col("landmark").alias("mark"), "places").withColumn("row_id", F.xxhash64("mark", "postcode", F.array_join("places", " ")))
+    known = houses.where("landmark <> ''")
     key = lambda c: F.substring_index(c, " ", -1)  # the kind of landmark, which is rarely misspelt
-    by_code = known.select(F.substring_index("at", "|", 1).alias("postcode"), "landmark", "location").where("postcode <> ''").distinct()
-    one = marks.where("postcode <> ''").join(by_code, "postcode").where(_near("mark", "landmark")).select("row_id", "location").distinct()
+    spots = marks.select("row_id", "postcode", "mark", "places").dropDuplicates(["row_id"])
+    by_code = known.select(F.substring_index("location", "|", 1).alias("postcode"), "landmark", "location").where("postcode <> ''").distinct()
+    one = spots.where("postcode <> ''").join(by_code, "postcode").where(_near("mark", "landmark")).select("row_id", "location").distinct()
     by_place = known.select("landmark", "location", F.explode("places").alias("place")).withColumn("end", key(F.col("landmark"))).distinct()
-    rest = marks.join(one.select("row_id").distinct(), "row_id", "left_anti").select("row_id", "mark", F.explode("places").alias("place"), key(F.col("mark")).alias("end"))
+    rest = spots.join(one.select("row_id").distinct(), "row_id", "left_anti").select("row_id", "mark", F.explode("places").alias("place"), key(F.col("mark")).alias("end"))
     shared = rest.join(by_place, ["place", "end"]).where(_near("mark", "landmark")).groupBy("row_id", "location").agg(F.count_distinct("place").alias("votes"))
     best = shared.withColumn("_r", F.rank().over(Window.partitionBy("row_id").orderBy(F.desc("votes")))).where("_r = 1").select("row_id", "location")
     inherited = one.unionByName(best).groupBy("row_id").agg(F.min("location").alias("location"), F.count(F.lit(1)).cast("int").alias("candidates"))
     own = F.concat_ws("|", F.lit("landmark"), "postcode", "mark", F.array_join(F.array_sort("places"), " "))
     placed = marks.join(inherited, "row_id", "left")
     only = placed.select("entity_id", F.when(F.col("candidates") == 1, F.col("location")).otherwise(own).alias("location"), F.coalesce("candidates", F.lit(0)).alias("candidates"))
-    return scratch.write(houses.where("number <> ''").select("entity_id", "location", "candidates").unionByName(only).distinct())
+    order = F.struct(F.col("location").startswith("landmark|"), F.when(F.col("candidates") == 0, 1 << 30).otherwise(F.col("candidates")), "location")
+    every = houses.select("entity_id", "location", "candidates").unionByName(only).withColumn("_o", order)
+    return scratch.write(every.groupBy("entity_id").agg(F.min("_o").alias("o"), F.min_by("candidates", "_o").alias("candidates")).select("entity_id", "o.location", "candidates"))
 
 
 def same_location_pairs(records: DataFrame, pool: DataFrame) -> DataFrame:
     """(entity_id_a, entity_id_b) of the rows of both tables whose addresses denote the same building or plot, smaller id first.
 
-    Rows without an address are in no pair; repeated deliveries of an id count as one row with all its addresses; empty tables give none.
+    Rows without an address are in no pair; repeated deliveries of an id count as one row; empty tables give none.
     """
     scratch = Scratch(records.sparkSession, "locations")
-    located = resolve_locations(addressed_rows(records, pool), scratch)
-    return pairs_within(located.select("location", "entity_id").distinct(), "location", "entity_id", "entity_id_a", "entity_id_b").distinct()
+    located = resolve_locations(addressed_rows(records, pool), scratch)  # one location per id, so no pair comes twice
+    return pairs_within(located.select("location", "entity_id"), "location", "entity_id", "entity_id_a", "entity_id_b")
