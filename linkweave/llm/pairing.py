@@ -5,18 +5,24 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: Members of a group that one task pairs with the whole group.
+#: Groups of at most this many members are paired within their row.
+SMALL = 64
+#: Members of a larger group that one task pairs with the whole group.
 SLICE = 1_000
 
 
 def pairs_within(members: DataFrame, group: str, member: str, a: str, b: str) -> DataFrame:
     """(a, b) with a < b for all two different members of a group; members: distinct (group, member), neither null.
 
-    The result is as large as the groups' squares by its definition. A large group is sliced: each slice of its members meets a copy of the whole
-    group in a task of its own, so one hot group is spread over many tasks.
+    The result is as large as the groups' squares by its definition. Small groups are gathered, at most SMALL members each. A larger one is sliced: each slice
+    of its members meets a copy of the whole group in a task of its own, so one hot group is spread over many tasks and never gathered.
     """
-    sizes = members.groupBy(group).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").withColumn("_s", F.ceil(F.col("_n") / SLICE).cast("int")).drop("_n")
-    rows = members.join(sizes, group)
-    left = rows.select(group, F.col(member).alias(a), F.pmod(F.xxhash64(member), F.col("_s")).cast("int").alias("_k"))
-    right = rows.select(group, F.col(member).alias(b), F.explode(F.sequence(F.lit(0), F.col("_s") - 1)).alias("_k"))
-    return left.join(right, [group, "_k"]).where(F.col(a) < F.col(b)).select(a, b)
+    sizes = members.groupBy(group).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1")
+    rows = members.select(group, member).join(sizes, group)
+    gathered = rows.where(F.col("_n") <= SMALL).groupBy(group).agg(F.sort_array(F.collect_list(member)).alias("m"))
+    inner = F.expr(f"flatten(transform(m, (x, i) -> transform(slice(m, i + 2, size(m)), y -> struct(x AS {a}, y AS {b}))))")
+    small = gathered.select(F.inline(inner))
+    large = rows.where(F.col("_n") > SMALL).withColumn("_s", F.ceil(F.col("_n") / SLICE).cast("int"))
+    left = large.select(group, F.col(member).alias(a), F.pmod(F.xxhash64(member), F.col("_s")).cast("int").alias("_k"))
+    right = large.select(group, F.col(member).alias(b), F.explode(F.sequence(F.lit(0), F.col("_s") - 1)).alias("_k"))
+    return small.unionByName(left.join(right, [group, "_k"]).where(F.col(a) < F.col(b)).select(a, b))
