@@ -58,12 +58,8 @@ _LANDMARK = re.compile(
     rf"\b(?:{PLACE_PREPOSITIONS})\b[\s:.-]*((?:[^\W\d_]+[\s-]+){{0,3}}?(?:{'|'.join(LANDMARK_ENDS)})(?:\s+(?:{'|'.join(LANDMARK_ENDS)}))?\b|[^,\d]{{3,40}}?(?=,|\d|$))(?=[\s,]|$)"
 )
 _UNIT = re.compile(rf"\b(?:{UNIT_WORDS})\b\s*(?:no\b\s*)?[-#:.]?\s*\d+\s*-?[a-z]?\b|#\s*\d+[a-z]?\b|\b\d+\s*-?[a-z]?\s+block\b|\bblock\s+\d+[a-z]?\b")
-_POSTCODES = (
-    re.compile(r"\b([a-z]{1,2}\d[a-z\d]?)\s+(\d[a-z]{2})\b"),
-    re.compile(r"\b([a-z]\d[a-z])\s*(\d[a-z]\d)\b"),
-    re.compile(r"\b(\d{5})\s*-\s*(\d{3})\b"),
-    re.compile(r"\b(\d{5,6})()\b"),
-    re.compile(r"\b(\d{3})\s(\d{3})\b(?=\W*$|\s*,)"),
+_POSTCODE = re.compile(
+    r"\b(?:([a-z]{1,2}\d[a-z\d]?)\s+(\d[a-z]{2})|([a-z]\d[a-z])\s*(\d[a-z]\d)|(\d{5})\s*-\s*(\d{3})|(\d{5,6})|(\d{3})\s(\d{3})(?=\W*$|\s*,))\b"
 )
 _HOUSE = re.compile(r"(?<![a-z\d])(\d{1,4})(?:\s*-\s*|\s*)([a-dfgh])?(?![a-z\d])")
 _ORDINAL_PLACE = re.compile(r"\b(phase|sector|ward|zone|block)\s+\d+\b")
@@ -73,8 +69,12 @@ _WORDS_AND_MARKS = re.compile(r"[a-z]+|[,|.-]")
 _DIGIT_LETTER = re.compile(r"(?<=[a-z])0(?=[a-z]{2})|(?<=[a-z]{2})0(?=[a-z])|(?<=[a-z]{2})1(?=[a-z\s,.]|$)|(?<=[a-z]{3})0(?=[\s,.]|$)")
 
 
-_HINTS = ("near", "nr", "opp", "behind", "beside", "next", "front", "adj", "across", "close", "landmark")
-_UNIT_HINTS = ("#", "unit", "suite", "ste", "shop", "ap", "fl", "room", "office", "level", "block")
+_MAIN_ROAD = re.compile(r"\b(?:main|mn)\s(?:road|raod|rod|rd)\b")
+
+
+def _hinted(t: str) -> bool:
+    """Whether a place preposition may be in t; a chain of searches for literals costs a fraction of the pattern."""
+    return "near" in t or "nr" in t or "opp" in t or "behind" in t or "beside" in t or "next" in t or "front" in t or "adj" in t or "across" in t or "close" in t or "landmark" in t
 
 
 class Address(NamedTuple):
@@ -123,15 +123,21 @@ def parse_address(address: str | None, landmark: str | None = None) -> Address:
     text = fold(address or "").strip()
     if not text or text in ("nan", "none", "null", "n/a", "na", "\\n"):
         return EMPTY._replace(landmark=_landmark_name(fold(landmark or "")))
-    text = text.replace("x-cross", "cross").replace("park way", "parkway").replace("main road", "mainroad").replace("mn road", "mainroad").replace("main raod", "mainroad").replace("main rod", "mainroad")
-    found = _LANDMARK.search(text) if any(p in text for p in _HINTS) else None
+    if "-cross" in text:
+        text = text.replace("x-cross", "cross")
+    if "park way" in text:
+        text = text.replace("park way", "parkway")
+    if "main r" in text or "mn r" in text:
+        text = _MAIN_ROAD.sub("mainroad", text)
+    found = _LANDMARK.search(text) if _hinted(text) else None
     mark = ""
     if found:
         mark = _landmark_name(found[1])
         text = f"{text[: found.start()]} , {text[found.end():]}"
     elif landmark:
         mark = _landmark_name(fold(landmark))
-    text = _UNIT.sub(" , ", text) if any(p in text for p in _UNIT_HINTS) else text
+    if "#" in text or "unit" in text or "suite" in text or "ste" in text or "shop" in text or "apart" in text or "apt" in text or "floor" in text or "fl" in text or "room" in text or "office" in text or "level" in text or "block" in text:
+        text = _UNIT.sub(" , ", text)
     text = _ORDINAL_PLACE.sub(lambda m: m[1] + " ", text) if "phase" in text or "sector" in text or "ward" in text or "zone" in text else text
     text, code = _postcode(text)
     number, text, at = _number(text)
@@ -152,12 +158,17 @@ def _landmark_name(text: str) -> str:
 
 
 def _postcode(text: str) -> tuple[str, str]:
-    for pattern in _POSTCODES:
-        hits = list(pattern.finditer(text))
-        if hits:
-            m = hits[-1]
-            return f"{text[: m.start()]} , {text[m.end():]}", m[1] + m[2]
-    return text, ""
+    """text without its postcode, and that. Of several the surest kind counts: letters and digits, then grouped, then five or six digits, then two groups of three; of one kind the last."""
+    best, kind = None, 9
+    for m in _POSTCODE.finditer(text):
+        k = (m.lastindex + 1) // 2 if m.lastindex != 7 else 4
+        k = 5 if m.lastindex == 9 else k
+        if k <= kind:
+            best, kind = m, k
+    if best is None:
+        return text, ""
+    code = "".join(g for g in best.groups() if g)
+    return f"{text[: best.start()]} , {text[best.end():]}", code
 
 
 def _number(text: str) -> tuple[str, str, int]:
