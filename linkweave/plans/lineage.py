@@ -8,6 +8,10 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
+#: Written tables after which the driver's garbage is collected.
+GC_EVERY = 3
+
+
 def shared_folder(spark: SparkSession) -> str:
     """spark.checkpoint.dir of the session. Only a local master may go without: it gets a temporary folder."""
     set_by_context = spark.sparkContext._jsc.sc().getCheckpointDir()
@@ -34,6 +38,8 @@ class Scratch:
         df.write.option("compression", codec).parquet(path)
         out = self.spark.read.schema(df.schema).parquet(path)
         out._scratch = path
+        if self.n % GC_EVERY == 0:  # shuffle files of finished steps stay on disk until the driver's garbage is collected
+            self.spark.sparkContext._jvm.System.gc()
         return out
 
     def drop(self, df: DataFrame) -> None:
