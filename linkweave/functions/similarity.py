@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import lru_cache
+
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -9,20 +11,33 @@ from pyspark.sql import types as T
 from pyspark.sql.functions import pandas_udf
 
 
+@lru_cache(maxsize=50_000)
+def _places(a: str) -> dict[str, int]:
+    """For each letter the bits of the places where a has it. A lookup is held against many candidates, so this is kept."""
+    where: dict[str, int] = {}
+    for i, ch in enumerate(a):
+        where[ch] = where.get(ch, 0) | 1 << i
+    return where
+
+
 def lcs_length(a: str, b: str) -> int:
     """Length of the longest common subsequence, with one big integer as the row of the table."""
     if a == b:
         return len(a)
-    where: dict[str, int] = {}
-    for i, ch in enumerate(a):
-        where[ch] = where.get(ch, 0) | 1 << i
+    get = _places(a).get
     full = row = (1 << len(a)) - 1
     for ch in b:
-        hit = row & where.get(ch, 0)
-        row = ((row + hit) | (row - hit)) & full
+        hit = row & get(ch, 0)
+        if hit:
+            row = ((row + hit) | (row - hit)) & full
     return len(a) - row.bit_count()
 
 
+@lru_cache(maxsize=50_000)
+def _words(text: str) -> frozenset[str]:
+    return frozenset(text.split())
+
+
 def ratio(a: str, b: str) -> float:
     """100 for two empty strings."""
     total = len(a) + len(b)
@@ -31,7 +46,7 @@ def ratio(a: str, b: str) -> float:
 
 def token_set_ratio(a: str, b: str) -> float:
     """Best of the ratios between shared words and shared plus own words; 0 if either side has no words."""
-    left, right = set(a.split()), set(b.split())
+    left, right = _words(a), _words(b)
     if not left or not right:
         return 0.0
     both, only_a, only_b = left & right, left - right, right - left
@@ -50,12 +65,19 @@ def token_set_ratio(a: str, b: str) -> float:
 
 def best_score(name: str, core: str, c_name: str, c_core: str, c_alt: str) -> float:
     """Name against name, core against core where both exist, name against the trade name where there is one."""
-    scores = [ratio(name, c_name), token_set_ratio(name, c_name)]
-    if core and c_core:
-        scores += [ratio(core, c_core), token_set_ratio(core, c_core)]
-    if c_alt and name:
-        scores.append(token_set_ratio(name, c_alt))
-    return max(scores)
+    best = token_set_ratio(name, c_name)
+    if c_alt and name and best < 100.0:
+        best = max(best, token_set_ratio(name, c_alt))
+    same = name == core and c_name == c_core
+    if core and c_core and not same and best < 100.0:
+        best = max(best, token_set_ratio(core, c_core))
+    for x, y in ((name, c_name), (core, c_core)) if core and c_core and not same else ((name, c_name),):
+        total = len(x) + len(y)
+        if not total:
+            best = 100.0
+        elif 200.0 * min(len(x), len(y)) / total > best:  # the most that the lengths allow
+            best = max(best, ratio(x, y))
+    return best
 
 
 @pandas_udf(T.DoubleType())
