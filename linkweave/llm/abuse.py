@@ -237,7 +237,8 @@ def train(features: DataFrame, labels: DataFrame) -> tuple[dict[str, float], lis
     """
     judged = labels.where("doc_id IS NOT NULL AND abusive IS NOT NULL").groupBy("doc_id").agg(F.avg(F.col("abusive").cast("double")).alias("share"), F.count(F.lit(1)).alias("raters"))
     kept = judged.orderBy(F.xxhash64("doc_id"), "doc_id").limit(MAX_LABELLED)
-    rows = kept.join(features, "doc_id").select("features", "share", "raters").toPandas()  # at most MAX_LABELLED rows
+    # the labelled side has at most MAX_LABELLED rows; left to itself, Spark may send the features of all documents, which compress well
+    rows = features.join(F.broadcast(kept), "doc_id").select("features", "share", "raters").toPandas()
     names = sorted({f for fs in rows["features"] for f in fs} | {f"k:{k}" for k in KINDS})
     at = {f: i for i, f in enumerate(names)}
     x = np.zeros((len(rows), len(names)))
