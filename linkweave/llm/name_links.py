@@ -125,40 +125,44 @@ def _scored(pairs: DataFrame, weights: tuple[dict[str, float], float]) -> DataFr
     return pairs.withColumn("cosine", score("u", "v", "u_counts", "v_counts")).where("cosine > 0").select("u", "v", "support", "cosine")
 
 
-def _gram_pairs() -> Column:
-    """Hashes of pairs of n-grams of two different words, each a word's first or middle three letters or its last four; of a single word, n-grams about its first and its last letters, as of two words written together.
+def _join_keys() -> Column:
+    """Hashes of whole words, and of pairs of n-grams of two different words, each a word's first or middle three letters or its last four; of a single word, n-grams about its first and its last letters, as of two words written together.
 
-    Single n-grams are held by so many names that joining on them would grow with the square of the data; a pair is nearly as rare as the name itself.
+    Where one word is written right, the whole word finds the name whatever happened to the other. Single n-grams are held by so many names that joining on them would grow with the square of the data; a pair is nearly as rare as the name itself.
     """
     three = "array_distinct(array(left(w, 3), substring(w, greatest((length(w) - 1) div 2, 1), 3), right(w, 4)))"
     pair = "xxhash64(least(a, b), greatest(a, b))"
     two = f"flatten(transform(words, (w, i) -> flatten(transform(slice(words, i + 2, size(words)), y -> flatten(transform({three}, a -> transform({three.replace('(w', '(y')}, b -> {pair})))))))"
     one = f"flatten(transform(words, w -> flatten(transform(array(left(w, 3), substring(w, 3, 3), substring(w, 4, 3)), a -> transform(array(right(w, 4), substring(w, -5, 3), substring(w, -6, 3)), b -> {pair})))))"
-    return F.expr(f"array_distinct(CASE WHEN size(words) = 1 THEN {one} ELSE {two} END)")
+    return F.expr(f"array_distinct(concat(transform(words, w -> xxhash64(w)), CASE WHEN size(words) = 1 THEN {one} ELSE {two} END))")
 
 
 def similar_spellings(keys: DataFrame, weights: tuple[dict[str, float], float]) -> DataFrame:
     """(u, v, cosine, support, _r): for each spelling the most similar ones that are more frequent, at most TOP_N, best first; of equally frequent ones that whose words are more established counts as the more frequent.
 
-    keys: of with_word_counts. Spellings that hold a word which is not established, or is much rarer than another of theirs, are joined with all others on pairs of
-    n-grams, one of each word; the others are names as they should be. Weights are inverse document frequencies over all spellings.
+    keys: of with_word_counts. Spellings that hold a word which is not established, or is much rarer than another of theirs, are joined with all others on whole
+    words and on pairs of n-grams, one of each word, and the exact check decides: the distances in the join only leave out what it can't accept. The others are names as they should be. Weights are inverse document frequencies over all spellings.
     """
     least, two = F.array_min("counts"), F.size("words") == 2
     first, second = F.when(two, F.col("words")[0]).otherwise(F.col("family")), F.when(two, F.col("words")[1]).otherwise("")
     side = lambda x: [first.alias(f"{x}1"), second.alias(f"{x}2"), F.col("support").alias(f"{x}_support"), least.alias(f"{x}_least")]
     odd = keys.where((least < ESTABLISHED) | (least * RARER < F.array_max("counts")))
-    index = keys.select(F.explode(_gram_pairs()).alias("g"), *side("v"))
-    queries = odd.select(F.explode(_gram_pairs()).alias("g"), *side("u"))
+    index = keys.select(F.explode(_join_keys()).alias("g"), *side("v"))
+    queries = odd.select(F.explode(_join_keys()).alias("g"), *side("u"))
     c = F.col
     tie = (c("v1") > c("u1")) | ((c("v1") == c("u1")) & (c("v2") > c("u2")))
     more = (c("v_support") > c("u_support")) | ((c("v_support") == c("u_support")) & ((c("v_least") > c("u_least")) | ((c("v_least") == c("u_least")) & tie)))
-    slip = lambda x, y: F.levenshtein(x, y, 2) >= 0
+
+    def slip(x: str, y: str) -> Column:  # near_words counts letters left out and put in, which are never fewer than the edits
+        n, d = F.greatest(F.length(x), F.length(y)), F.levenshtein(x, y, 5)
+        return (d >= 0) & (d <= F.when(n <= 3, 0).when(n <= 6, 2).when(n <= 11, 4).otherwise(5))
+
     by_word = (slip("u1", "v1") & slip("u2", "v2")) | (slip("u1", "v2") & slip("u2", "v1"))
     # one word for two, or a third word: compared without spaces, in either order of the words
     bare = lambda x, y: F.replace(F.concat(x, y), F.lit(" "), F.lit(""))
-    near = lambda x, y: F.levenshtein(x, y, 4) >= 0
+    near = lambda x, y: F.levenshtein(x, y, 5) >= 0
     whole = near(bare("u1", "u2"), bare("v1", "v2")) | near(bare("u2", "u1"), bare("v1", "v2")) | near(bare("u1", "u2"), bare("v2", "v1"))
-    more_words = c("u1").contains(" ")  # of three words or more, two may be the name
+    more_words = c("u1").contains(" ") | c("v1").contains(" ")  # of three words or more, two may be the name
     alike = F.when((c("u2") != "") & (c("v2") != ""), by_word).otherwise(whole | more_words)
     shared = queries.join(index, "g").where(more & alike).select(F.trim(F.concat_ws(" ", "u1", "u2")).alias("u"), F.trim(F.concat_ws(" ", "v1", "v2")).alias("v"), c("v_support").alias("support")).distinct()
     counts = lambda c: keys.select(F.col("family").alias(c), F.col("counts").alias(f"{c}_counts"))

@@ -75,6 +75,12 @@ def test_same_names(spark):
     assert len(found & want) / len(want) > 0.9 and len(found - want) / len(found) < 0.05
 
 
+def test_one_word_right_finds_the_name(spark):
+    names = ["cuirpux tragrodert", "curipux tragrodert", "grotesar muiztel", "grotesar muzitel", "kalomi bresendat", "karomi bresendat"]  # slips that change all n-grams of the pairs
+    found = {tuple(x) for x in name_links.same_name_pairs(records(spark, []), pool(spark, [(f"S2-{k}", f"{n} bakery", "", "") for k, n in enumerate(names)])).collect()}
+    assert found == {("S2-0", "S2-1"), ("S2-2", "S2-3"), ("S2-4", "S2-5")}
+
+
 def test_families_trade_names_and_blanks(spark):
     r = records(spark, [("S1-1", "richard mozafom bragekond brokers", ""), ("S1-2", "margaret mozafom bragekond brokers", ""), ("S1-3", "dick bragekond mozafom brkrs", ""), ("S1-4", None, ""), ("S1-5", "nan", ""), ("S1-1", "richard mozafom bragekond brokers", "")])
     p = pool(spark, [("S2-1", "r mozafom bragekond brokers", "", ""), ("S2-2", "kolupart nizagrom foods dba velatrist hupogand mart", "velatrist hupogand mart", ""), ("S3-1", "velatrist hupogand mart", "", ""), ("S3-2", "kolupart nizagrom food products", "", ""), ("S3-3", "", "", ""), ("S3-4", "", "", "")])
