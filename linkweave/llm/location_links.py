@@ -44,12 +44,18 @@ def _near(a: str, b: str) -> Column:
 
 
 def street_gazetteer(rows: DataFrame) -> DataFrame:
-    """(postcode, street, n): the usual street name of each postcode that two rows or more give, where that is no slip of the postcode.
+    """(postcode, street, n): the streets of each postcode that two rows or more give, where that is no slip of the postcode.
 
-    A postcode that is RARER times rarer than another one of the same street name is taken for a slip if it differs by one character.
+    From the most frequent spelling on, each one that is no slip of a street already kept is a street. Besides the most frequent one a street counts if two rows
+    or more give it, slips included. A postcode that is RARER times rarer than another one of the same street name is taken for a slip if it differs by one character.
     """
     named = rows.where("street <> '' AND postcode <> ''").groupBy("postcode", "street").agg(F.count(F.lit(1)).alias("n"))
-    top = named.groupBy("postcode").agg(F.max(F.struct("n", "street")).alias("t"), F.sum("n").alias("m")).where("m > 1").select("postcode", "t.street", "t.n")
+    per_code = named.groupBy("postcode").agg(F.sort_array(F.collect_list(F.struct("n", "street")), asc=False).alias("spellings"), F.sum("n").alias("m")).where("m > 1")  # the spellings of one postcode
+    none = F.filter("spellings", lambda x: F.lit(False))
+    apart = F.aggregate("spellings", none, lambda kept, x: F.when(F.exists(kept, lambda k: _near(k["street"], x["street"])), kept).otherwise(F.concat(kept, F.array(x))))
+    slips = lambda k: F.exists("spellings", lambda x: (x["street"] != k["street"]) & _near(x["street"], k["street"]))
+    streets = F.filter(F.col("apart"), lambda k, i: (i == 0) | (k["n"] > 1) | slips(k))
+    top = per_code.withColumn("apart", apart).select("postcode", F.explode(streets).alias("t")).select("postcode", "t.street", "t.n")
     best = top.groupBy("street").agg(F.max(F.struct("n", "postcode")).alias("b"))
     slip = (F.col("n") * RARER <= F.col("b.n")) & (F.levenshtein("postcode", F.col("b.postcode"), 1) >= 0)
     return top.join(best, "street").where(~slip).select("postcode", "street", "n")
@@ -59,14 +65,17 @@ def resolve_streets(houses: DataFrame, scratch: Scratch) -> DataFrame:
     """houses (rows with a street) plus at: the street they are in as 'postcode|street', and candidates: how many streets were possible.
 
     Top down: region and locality by postcode, then the street among those of that level. A level that is missing or matches nothing hands on the
-    candidates of the level above: first the streets of the postcode, then those of that name whose postcode is missing here or differs by a slip, then
+    candidates of the level above: first the streets of the postcode, of which the one nearest to what is written is taken, then those of that name whose postcode is missing here or differs by a slip, then
     those of a place named in the row. Where several remain none is chosen, and the row keeps a street of its own, named by what is written.
     """
     gazetteer = scratch.write(street_gazetteer(houses))
-    # level 1 and 2: the postcode's own street
-    g = gazetteer.select("postcode", F.col("street").alias("g_street"))
-    agreed = F.col("g_street").isNotNull() & _near("street", "g_street")
-    first = scratch.write(houses.join(g, "postcode", "left").withColumn("at", F.when(agreed, F.concat_ws("|", "postcode", "g_street"))).drop("g_street"))
+    # level 1 and 2: the postcode's own streets, together in one row, so that the join keeps the number of rows
+    g = gazetteer.groupBy("postcode").agg(F.collect_list("street").alias("_streets"))
+    near = F.transform(F.filter("_streets", lambda g: _near(F.col("street"), g)), lambda g: F.struct(F.levenshtein(F.col("street"), g).alias("d"), g.alias("street")))
+    nearest = F.filter("_near", lambda x: x["d"] == F.array_min("_near")["d"])
+    at = F.when(F.size("_nearest") == 1, F.concat_ws("|", "postcode", F.get("_nearest", F.lit(0))["street"]))
+    first = houses.join(g, "postcode", "left").withColumn("_near", near).withColumn("_nearest", nearest).withColumn("at", at)
+    first = scratch.write(first.drop("_streets", "_near", "_nearest"))
     open_rows = first.where("at IS NULL").withColumn("row_id", F.xxhash64("street", "postcode", F.array_join("places", " ")))
     asked = scratch.write(open_rows.groupBy("row_id").agg(F.first("street").alias("street"), F.first("postcode").alias("postcode"), F.first("places").alias("places")))
     # level 3: the street by its name; the place words tell streets of one name apart

@@ -100,6 +100,12 @@ def test_same_locations(spark):
     assert location_links.same_location_pairs(records(spark, []), pool(spark, [])).count() == 0
 
 
+def test_all_streets_of_a_postcode(spark):
+    a = [f"{n} drefecock road, suzelport 88413" for n in (1, 2, 3, 4)] + ["14 bracavil road, suzelport 88413", "14 bracavil rd, suzelport 88413", "14 bracail road, suzelport 88413", "14 bracavyl road, suzelport 88413", "14 bracavil road, suzelport"]
+    found = {tuple(x) for x in location_links.same_location_pairs(records(spark, []), pool(spark, [(f"S2-{k}", "x", "", t) for k, t in enumerate(a)])).collect()}
+    assert found == {(f"S2-{i}", f"S2-{j}") for i in range(4, 9) for j in range(i + 1, 9)}
+
+
 def test_matches_and_confidence(spark):
     r = records(spark, [("S1-1", "fosikust mubrajeth plumbers ltd", "438 zozumix road, pafalpatti 15677"), ("S1-2", "fosikust mubrajeth plumbing", "12 other lane, elsewhere 99999"), ("S1-3", None, "7 lone road, lonetown 11111"), ("S1-4", "kolupart nizagrom foods", None)])
     p = pool(spark, [("S2-1", "mubrajeth fosikust plmbg", "", "438 zozumix rd pafalpatti 15677"), ("S2-2", "velatrist hupogand mart", "", "7 lone road, lonetown 11111"), ("S3-1", "kolupart nizagrom food", "", "9 some lane, sometown 22222"), ("S3-2", "", "", "")])
