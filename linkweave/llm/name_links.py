@@ -199,6 +199,17 @@ def average_linkage(n: int, sims: list[list[float]], cut: float) -> list[int]:
     return out
 
 
+def follow_links(parent: DataFrame, scratch: Scratch) -> DataFrame:
+    """parent (family, root; no cycles, written) where root is the end of the chain of links. Each round of pointer jumping doubles the links followed; they end when no root has a link of its own."""
+    jumped = parent
+    while True:
+        up = jumped.select(F.col("family").alias("root"), F.col("root").alias("_up"))
+        joined = scratch.write(jumped.join(up, "root", "left").select("family", F.coalesce("_up", "root").alias("root"), F.col("_up").isNotNull().alias("moved")))
+        jumped = joined.drop("moved")
+        if joined.where("moved").isEmpty():
+            return jumped
+
+
 def spelling_groups(keys: DataFrame, scratch: Scratch) -> DataFrame:
     """(family, root): spellings of one name share the most frequent of them as root; a spelling without links is not listed.
 
@@ -207,10 +218,7 @@ def spelling_groups(keys: DataFrame, scratch: Scratch) -> DataFrame:
     weights = gram_weights(keys)
     links = similar_spellings(scratch.write(with_word_counts(keys)), weights)
     parent = scratch.write(links.where("_r = 1").select(F.col("u").alias("family"), F.col("v").alias("root"), "cosine"))
-    jumped = parent.drop("cosine")
-    for _ in range(2):  # pointer jumping: chains of up to four links
-        up = jumped.select(F.col("family").alias("root"), F.col("root").alias("_up"))
-        jumped = jumped.join(up, "root", "left").select("family", F.coalesce("_up", "root").alias("root"))
+    jumped = follow_links(parent.drop("cosine"), scratch)
     table = keys.sparkSession.sparkContext.broadcast(weights)
     n = jumped.groupBy("root").agg(F.count(F.lit(1)).alias("_n"))
     part = F.pmod(F.xxhash64("family"), F.ceil(F.col("_n") / PART))

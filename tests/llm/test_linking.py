@@ -6,6 +6,7 @@ from linkweave.llm import entity_matching, location_links, name_links
 from linkweave.llm.addresses import parse_address
 from linkweave.llm.names import parse_name
 from linkweave.llm.pairing import pairs_within
+from linkweave.plans.lineage import Scratch
 
 R = "row_ordinal long, entity_id string, business_name_norm string, business_address_norm string, country_norm string"
 PO = "entity_id string, source string, country string, name string, name_core string, name_alt string, address string, landmark string"
@@ -81,6 +82,13 @@ def test_one_word_right_finds_the_name(spark):
     assert found == {("S2-0", "S2-1"), ("S2-2", "S2-3"), ("S2-4", "S2-5")}
 
 
+@pytest.mark.parametrize("length", [1, 4, 5, 23])
+def test_chains_of_links_are_followed_to_their_end(spark, length):
+    parent = spark.createDataFrame([(f"w{k}", f"w{k + 1}") for k in range(length)] + [("x", "y")], "family string, root string")
+    found = {tuple(x) for x in name_links.follow_links(parent, Scratch(spark, "chain")).collect()}
+    assert found == {(f"w{k}", f"w{length}") for k in range(length)} | {("x", "y")}
+
+
 def test_families_trade_names_and_blanks(spark):
     r = records(spark, [("S1-1", "richard mozafom bragekond brokers", ""), ("S1-2", "margaret mozafom bragekond brokers", ""), ("S1-3", "dick bragekond mozafom brkrs", ""), ("S1-4", None, ""), ("S1-5", "nan", ""), ("S1-1", "richard mozafom bragekond brokers", "")])
     p = pool(spark, [("S2-1", "r mozafom bragekond brokers", "", ""), ("S2-2", "kolupart nizagrom foods dba velatrist hupogand mart", "velatrist hupogand mart", ""), ("S3-1", "velatrist hupogand mart", "", ""), ("S3-2", "kolupart nizagrom food products", "", ""), ("S3-3", "", "", ""), ("S3-4", "", "", "")])
