@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import math
+from array import array
+from collections.abc import Sequence
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
@@ -25,8 +27,6 @@ ESTABLISHED = 3
 RARER = 5
 #: Links kept of each spelling.
 TOP_N = 3
-#: Spellings that one clustering call takes; larger groups are clustered in parts that share the group's most frequent spelling.
-PART = 200
 
 @pandas_udf(T.StringType())
 def _parsed(name: pd.Series, alt: pd.Series) -> pd.Series:
@@ -171,29 +171,52 @@ def similar_spellings(keys: DataFrame, weights: tuple[dict[str, float], float])
     return links.withColumn("_r", F.row_number().over(best)).where(F.col("_r") <= TOP_N)
 
 
-def average_linkage(n: int, sims: list[list[float]], cut: float) -> list[int]:
-    """Cluster number of each of n names: the two clusters with the highest average similarity are merged as long as that is at least cut. Sums between clusters are kept, so a merge costs one row."""
-    total = [row[:] for row in sims]
+def average_linkage(n: int, sims: Sequence[Sequence[float]], cut: float) -> list[int]:
+    """Cluster number of each of n names: the two clusters with the highest average similarity are merged as long as that is at least cut. Sums between clusters are kept, so a merge costs one row.
+
+    sims: symmetric; only what is left of the diagonal is read. Each cluster remembers its best partner among those before it, so that a merge seldom looks at more than the rows it changes.
+    """
+    total = [array("d", sims[i][:i]) for i in range(n)]
     members = {i: [i] for i in range(n)}
-    while len(members) > 1:
-        live = sorted(members)
-        best, at = cut, None
-        for x, i in enumerate(live):
-            row, k = total[i], len(members[i])
-            for j in live[:x]:
-                s = row[j] / (k * len(members[j]))
-                if s >= best and (at is None or s > best):
-                    best, at = s, (j, i)
-        if at is None:
+    best: dict[int, tuple[float, int]] = {}
+
+    def average(i: int, j: int) -> float:
+        return total[i][j] / (len(members[i]) * len(members[j]))
+
+    def look(i: int) -> None:
+        top, at = -1.0, -1
+        for j in members:  # in ascending order: merged ones keep the place of the smaller number
+            if j >= i:
+                break
+            s = average(i, j)
+            if s > top:
+                top, at = s, j
+        best[i] = (top, at)
+
+    for i in range(1, n):
+        look(i)
+    while best:
+        top, i = max((s, -i) for i, (s, _) in best.items())
+        i = -i
+        if top < cut:
             break
-        j, i = at
-        for k in live:
-            if k not in at:
-                total[j][k] += total[i][k]
-                total[k][j] = total[j][k]
+        j = best.pop(i)[1]
+        for k in members:
+            if k not in (i, j):
+                total[max(j, k)][min(j, k)] += total[max(i, k)][min(i, k)]
         members[j] += members.pop(i)
+        if j in best:
+            look(j)
+        for k in members:
+            if k > j:
+                s, at = best[k]
+                now = average(k, j)
+                if at in (i, j):
+                    look(k)
+                elif now > s or (now == s and j < at):
+                    best[k] = (now, j)
     out = [0] * n
-    for k, c in enumerate(members[m] for m in sorted(members)):
+    for k, c in enumerate(members.values()):
         for i in c:
             out[i] = k
     return out
@@ -220,9 +243,7 @@ def spelling_groups(keys: DataFrame, scratch: Scratch) -> DataFrame:
     parent = scratch.write(links.where("_r = 1").select(F.col("u").alias("family"), F.col("v").alias("root"), "cosine"))
     jumped = follow_links(parent.drop("cosine"), scratch)
     table = keys.sparkSession.sparkContext.broadcast(weights)
-    n = jumped.groupBy("root").agg(F.count(F.lit(1)).alias("_n"))
-    part = F.pmod(F.xxhash64("family"), F.ceil(F.col("_n") / PART))
-    grouped = jumped.join(n, "root").groupBy("root", part.alias("part")).agg(F.sort_array(F.collect_list("family")).alias("members"))  # about PART members
+    grouped = jumped.groupBy("root").agg(F.sort_array(F.collect_list("family")).alias("members"))  # all spellings of a name: cut into parts, they would cluster differently
 
     @pandas_udf(T.ArrayType(T.IntegerType()))
     def cluster(root: pd.Series, members: pd.Series) -> pd.Series:
@@ -235,13 +256,13 @@ def spelling_groups(keys: DataFrame, scratch: Scratch) -> DataFrame:
             names = [r, *ms]
             g = [grams(n) for n in names]
             size = [norm(x, weight, rare) for x in g]
-            sims = [[1.0] * len(names) for _ in names]
+            sims = [array("d", [1.0]) * i for i in range(len(names))]
             for i in range(1, len(names)):
                 for j in range(i):
                     c = cosine(g[i], g[j], size[i] * size[j], weight, rare)
                     if c < THRESHOLD and (not j or same_words(names[i], names[j], {})):  # linked, or one spelling of the other
                         c = THRESHOLD
-                    sims[i][j] = sims[j][i] = c
+                    sims[i][j] = c
             found = average_linkage(len(names), sims, LINKAGE)
             out.append([c - found[0] for c in found[1:]])
         return pd.Series(out)

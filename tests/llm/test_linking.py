@@ -89,6 +89,40 @@ def test_chains_of_links_are_followed_to_their_end(spark, length):
     assert found == {(f"w{k}", f"w{length}") for k in range(length)} | {("x", "y")}
 
 
+def plain_linkage(n, sims, cut):
+    clusters = [[i] for i in range(n)]
+    while len(clusters) > 1:
+        s, x, y = max((sum(sims[i][j] for i in a for j in b) / len(a) / len(b), -x, -y) for x, a in enumerate(clusters) for y, b in enumerate(clusters[:x]))
+        if s < cut:
+            break
+        clusters[-y] += clusters.pop(-x)
+    return {frozenset(c) for c in clusters}
+
+
+def test_average_linkage_against_plain():
+    rng = random.Random(8)
+    for _ in range(200):
+        n = rng.randrange(1, 16)
+        sims = [[0.0] * n for _ in range(n)]
+        for i in range(n):
+            for j in range(i):
+                sims[i][j] = sims[j][i] = rng.random() * rng.choice([0, 1])
+        found = name_links.average_linkage(n, sims, 0.3)
+        assert {frozenset(i for i in range(n) if found[i] == k) for k in found} == plain_linkage(n, sims, 0.3)
+
+
+def test_large_groups_are_clustered_whole(spark, monkeypatch):
+    slips = lambda w, v, letters: [f"{w} {v[:i]}{c}{v[i:]}" for i in range(1, 10) for c in letters]
+    right, lone = "stehamockand praguvibrest", "abralust nivogrex"
+    near, away = slips(*right.split(), "aeioubdgklmnprstvz"), slips("fokijuhul", "dulonekafirt", "aeioubdglmn")  # all follow one spelling, but some are another name
+    links = [(s, right, 9, 0.5, 1) for s in [*near, *away, lone]]
+    monkeypatch.setattr(name_links, "similar_spellings", lambda keys, weights: spark.createDataFrame(links, "u string, v string, support long, cosine double, _r int"))
+    keys = spark.createDataFrame([(right, 9), *((s, 1) for s in sorted({*near, *away, lone}))], "family string, support long")
+    root = {r["family"]: r["root"] for r in name_links.spelling_groups(keys, Scratch(spark, "large")).collect()}
+    assert len(root) > 200 and {root[s] for s in near} == {right} and len({root[s] for s in away}) == 1
+    assert len({right, root[away[0]], root[lone]}) == 3
+
+
 def test_families_trade_names_and_blanks(spark):
     r = records(spark, [("S1-1", "richard mozafom bragekond brokers", ""), ("S1-2", "margaret mozafom bragekond brokers", ""), ("S1-3", "dick bragekond mozafom brkrs", ""), ("S1-4", None, ""), ("S1-5", "nan", ""), ("S1-1", "richard mozafom bragekond brokers", "")])
     p = pool(spark, [("S2-1", "r mozafom bragekond brokers", "", ""), ("S2-2", "kolupart nizagrom foods dba velatrist hupogand mart", "velatrist hupogand mart", ""), ("S3-1", "velatrist hupogand mart", "", ""), ("S3-2", "kolupart nizagrom food products", "", ""), ("S3-3", "", "", ""), ("S3-4", "", "", "")])
