@@ -97,14 +97,46 @@ _SQUEEZED = {re.sub(r"(.)\1+", r"\1", w): w for w in sorted(_KNOWN, key=lambda w
 _BY_SHAPE: dict[tuple[int, str], list[str]] = {}
 for _w in sorted(_KNOWN, key=lambda w: (w not in _KIND_OF, w)):
     _BY_SHAPE.setdefault((len(_w), _w[0]), []).append(_w)
-_PHRASE = {k: re.compile("|".join(f"(?:{p})" for p in ps)) for k, ps in PHRASES.items()}
-#: Words of which every phrase has at least one; phrases are looked for only where one occurs.
-_TRIGGERS = frozenset(
-    "pig pigs loser losers clown clowns rat rats dog dogs worm worms liar liars fool fools jerk jerks swine coward creature scum shit crap filth bitch puta pute espece mierda inutil pauvre erbarmlich erbarmlicher "
-    "ass hell fuck shut fresse klappe maul mich gueule va vete te callate favour favor lives live beat choke chokes deserve deserves kill pay hope bringe bring schlag schlage matar ojala creve krepieren verrecken "
-    "vermin parasites parasiten parasitos parasite subhuman animals cockroaches savages inferior swamp crawled blood driven rid away vertrieben chasse echar ratten ratas "
-    "cock naked blouse dress clothes panties moaned slid begging came suck hardcore nude lick nackt bite desnuda stroked legs bench".split()
-)
+
+
+def _needed(seq) -> list[tuple[str, ...]]:
+    """Of a parsed pattern: texts that every match contains, each as the alternatives of which one must occur."""
+    out, run = [], ""
+    for op, arg in [*seq, (None, None)]:
+        if str(op) == "LITERAL":
+            run += chr(arg)
+            continue
+        if run:
+            out.append((run,))
+        run = ""
+        if str(op) == "SUBPATTERN":
+            out += _needed(arg[-1])
+        elif str(op) == "MAX_REPEAT" and arg[0]:
+            out += _needed(arg[-1])
+        elif str(op) == "BRANCH":
+            ways = [max(_needed(x), key=lambda ts: min(map(len, ts)), default=()) for x in arg[1]]
+            if all(ways):
+                out.append(tuple(sorted({t for ts in ways for t in ts})))
+    return out
+
+
+#: By kind, each phrase and what it needs, what has the fewest alternatives first; a phrase is looked for only where all that occurs. Derived from the phrases, so none can be missed.
+_NEEDED = {k: [(p, sorted(_needed(re._parser.parse(p)), key=lambda ts: (len(ts), -min(map(len, ts))))) for p in ps] for k, ps in PHRASES.items()}
+
+
+def _has(text: str, needed: list[tuple[str, ...]]) -> bool:
+    for ts in needed:
+        for x in ts:
+            if x in text:
+                break
+        else:
+            return False
+    return True
+
+
+@lru_cache(maxsize=10_000)
+def _joined(phrases: tuple[str, ...]) -> re.Pattern:
+    return re.compile("|".join(f"(?:{p})" for p in phrases))
 
 
 def _restore(m: re.Match) -> str:
@@ -178,11 +210,11 @@ def find_terms(text: str | None) -> list[str]:
     for w in words & _KIND_OF.keys():
         found.add(f"w:{w}")
         kinds.add(_KIND_OF[w])
-    if not words.isdisjoint(_TRIGGERS):
-        for k, pattern in _PHRASE.items():
-            for m in pattern.finditer(t):
-                found.add(f"p:{k}:{re.sub(r'[^a-z]+', ' ', m[0])[:24].strip()}")
-                kinds.add(k)
+    for k, phrases in _NEEDED.items():
+        likely = tuple(p for p, needed in phrases if _has(t, needed))
+        for m in _joined(likely).finditer(t) if likely else ():
+            found.add(f"p:{k}:{re.sub(r'[^a-z]+', ' ', m[0])[:24].strip()}")
+            kinds.add(k)
     return sorted(found | {f"k:{k}" for k in kinds} | ({f"n:{len(kinds)}"} if kinds else set()))
 
 

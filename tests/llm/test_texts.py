@@ -31,6 +31,39 @@ def test_harmless(text):
     assert abuse.find_terms(text) == []
 
 
+@pytest.mark.parametrize("text, kind", [("You spineless cowards", "insult"), ("filthy creatures", "insult"), ("stinking swines", "insult"), ("all over her thighs", "sexual"), ("all over his face", "sexual"), ("all over her breasts", "sexual")])
+def test_phrases_need_no_other_word(text, kind):
+    assert f"k:{kind}" in abuse.find_terms(text)
+
+
+def test_every_phrase_passes_its_gate():
+    def some(seq, rng):  # a text that a parsed pattern accepts
+        out = ""
+        for op, arg in seq:
+            op = str(op)
+            if op == "LITERAL":
+                out += chr(arg)
+            elif op == "ANY":
+                out += "x"
+            elif op == "IN":
+                kind, x = rng.choice(arg)
+                out += chr(x) if str(kind) == "LITERAL" else " " if "SPACE" in str(x) else "w"
+            elif op == "BRANCH":
+                out += some(rng.choice(arg[1]), rng)
+            elif op == "SUBPATTERN":
+                out += some(arg[-1], rng)
+            elif op in ("MAX_REPEAT", "MIN_REPEAT"):
+                out += "".join(some(arg[2], rng) for _ in range(rng.randint(arg[0], min(int(arg[1]), 3))))
+        return out
+
+    rng = random.Random(7)
+    for ps in abuse.PHRASES.values():
+        for p in ps:
+            for t in (some(abuse.re._parser.parse(p), rng) for _ in range(60)):
+                if abuse.re.search(p, t):
+                    assert any(q == p and abuse._has(t, needed) for known in abuse._NEEDED.values() for q, needed in known), (p, t)
+
+
 def test_very_long_text_counts_whole():
     assert abuse.find_terms("a quiet line of text\n" * 60_000 + "\\newcommand{\\x}{you moron}") != []
 
