@@ -26,7 +26,10 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 class Scratch:
-    """Written tables of one run; drop() removes those that nothing needs any more."""
+    """Written tables of one run; drop() removes those that nothing needs any more.
+
+    Tables read back are never broadcast unless a broadcast is asked for: Spark would judge their size by the compressed files, which says little about what explode or aggregates make of them.
+    """
 
     def __init__(self, spark: SparkSession, label: str) -> None:
         self.spark, self.root, self.n = spark, f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}", 0
@@ -36,12 +39,13 @@ class Scratch:
         self.n += 1
         path = f"{self.root}/{self.n}"
         df.write.option("compression", codec).parquet(path)
-        out = self.spark.read.schema(df.schema).parquet(path)
+        out = self.spark.read.schema(df.schema).parquet(path).hint("merge")
         out._scratch = path
         if self.n % GC_EVERY == 0:  # shuffle files of finished steps stay on disk until the driver's garbage is collected
             self.spark.sparkContext._jvm.System.gc()
         return out
 
     def drop(self, df: DataFrame) -> None:
+        """df must come from write, and whatever reads it must have been written."""
         path = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(df._scratch)
         path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
