@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import math
 from array import array
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from itertools import permutations
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
@@ -18,15 +19,15 @@ from linkweave.llm.names import parse_name
 from linkweave.llm.pairing import pairs_within
 from linkweave.plans.lineage import Scratch
 
-#: Least weighted cosine of two spellings' character 3-grams, and least average one of a spelling to its group.
-THRESHOLD = 0.22
-LINKAGE = 0.12
-#: A word in so many spellings is a word in its own right.
-ESTABLISHED = 3
-#: A word this many times rarer than the one it resembles may still be a slip of it.
+#: Least cosine of two linked spellings, and least average one of two clusters that become one.
+THRESHOLD = 0.4
+LINKAGE = 0.25
+#: Links kept of each spelling, the most similar first.
+TOP_N = 5
+#: A word is a word in its own right beside another one that is at most so many times as frequent; SMOOTH spellings are added to the more frequent one, so few spellings prove nothing.
 RARER = 5
-#: Links kept of each spelling.
-TOP_N = 3
+SMOOTH = 10
+
 
 @pandas_udf(T.StringType())
 def _parsed(name: pd.Series, alt: pd.Series) -> pd.Series:
@@ -40,17 +41,50 @@ def parse_names(name: str, alt: str) -> Column:
     return F.transform(lines, lambda x: F.struct(part(x, 0).alias("family"), part(x, 1).alias("given"), part(x, 2).alias("trades")))
 
 
-def grams(text: str, n: int = 3) -> set[str]:
-    return {w[i : i + n] for w in text.split() for i in range(len(w) - n + 1)} or set(text.split())
+def grams(word: str) -> list[str]:
+    """Character 3-grams of a word with its ends marked, in order, each once."""
+    w = f"^{word}$"
+    return list(dict.fromkeys(w[i : i + 3] for i in range(len(w) - 2)))
 
 
-def norm(g: set[str], weight: dict[str, float], rare: float) -> float:
-    return math.sqrt(sum(weight.get(x, rare) ** 2 for x in g))
+class NameCosine:
+    """Cosine of names by weighted character n-grams.
 
+    A word is a vector of its n-grams, weighted by the root of their inverse document frequency; a name is the outer product of its words' vectors, so that one n-gram of each word
+    makes a feature. The cosine of two such products is the product of the words' cosines, at best over which word meets which; its root of the number of words is used, so that one
+    threshold serves names of any number of words. Names of different numbers of words are compared written together, as one word.
+    """
 
-def cosine(a: set[str], b: set[str], norms: float, weight: dict[str, float], rare: float) -> float:
-    """norms: the product of both norms."""
-    return sum(weight.get(x, rare) ** 2 for x in a & b) / norms
+    def __init__(self, weights: dict[str, float], rare: float) -> None:
+        self.weights, self.rare = weights, rare
+        self.vectors: dict[str, dict[str, float]] = {}
+        self.known: dict[tuple[str, str], float] = {}
+
+    def vector(self, word: str) -> dict[str, float]:
+        v = self.vectors.get(word)
+        if v is None:
+            v = {g: self.weights.get(g, self.rare) for g in grams(word)}
+            norm = math.sqrt(sum(x * x for x in v.values()))
+            v = self.vectors[word] = {g: x / norm for g, x in v.items()}
+        return v
+
+    def words(self, a: str, b: str) -> float:
+        if a == b:
+            return 1.0
+        c = self.known.get((a, b))
+        if c is None:
+            x, y = self.vector(a), self.vector(b)
+            c = self.known[a, b] = sum([v * y[g] for g, v in x.items() if g in y])
+        return c
+
+    def names(self, u: str, v: str) -> float:
+        a, b = u.split(" "), v.split(" ")
+        if len(a) == len(b) == 2:
+            return math.sqrt(max(self.words(a[0], b[0]) * self.words(a[1], b[1]), self.words(a[0], b[1]) * self.words(a[1], b[0])))
+        orders = lambda x: permutations(x) if len(x) <= 4 else (tuple(x),)
+        if len(a) == len(b):
+            return max(math.prod(map(self.words, p, b)) for p in orders(a)) ** (1 / len(b))
+        return max(self.words("".join(p), "".join(q)) for p in orders(a) for q in orders(b))
 
 
 def near_words(a: str, b: str) -> bool:
@@ -60,15 +94,15 @@ def near_words(a: str, b: str) -> bool:
 
 
 def two_words(x: str, y: str, count: dict[str, int]) -> bool:
-    """Whether both are words in their own right: each occurs in ESTABLISHED or more spellings, and neither is rare beside the other, as a slip would be."""
+    """Whether both are words in their own right: neither is rare beside the other, as a slip would be."""
     few, many = sorted((count.get(x, 1), count.get(y, 1)))
-    return few >= ESTABLISHED and few * RARER >= many
+    return few * RARER >= many + SMOOTH
 
 
 def same_words(a: str, b: str, count: dict[str, int]) -> bool:
     """The exact check: every word of the shorter name has its own near word in the other, at least two words or all of them; or both read alike without spaces.
 
-    count: spellings that each word occurs in. Two established words are never taken for misspellings of each other.
+    count: spellings that each word occurs in. Two words in their own right are never taken for misspellings of each other.
     """
     if a == b:
         return True
@@ -90,85 +124,89 @@ def same_words(a: str, b: str, count: dict[str, int]) -> bool:
 
 
 def gram_weights(keys: DataFrame) -> tuple[dict[str, float], float]:
-    """Inverse document frequency of each 3-gram over all spellings. Letters are a to z, so there are at most 26 ** 3 of them."""
+    """Root of the inverse document frequency of each 3-gram over all spellings. Letters are a to z and the marks of a word's ends, so there are fewer than 28 ** 3 of them."""
     n = keys.count()
-    parts = F.expr("flatten(transform(split(family, ' '), w -> transform(sequence(1, greatest(length(w) - 2, 1)), i -> substring(w, i, 3))))")
+    parts = F.expr("flatten(transform(split(family, ' '), w -> transform(sequence(1, length(w)), i -> substring(concat('^', w, '$'), i, 3))))")
     rows = keys.select(F.explode(F.array_distinct(parts)).alias("g")).groupBy("g").agg(F.count(F.lit(1)).alias("df")).collect()
-    return {r["g"]: math.log(1.0 + n / r["df"]) for r in rows}, math.log(1.0 + n)
+    return {r["g"]: math.sqrt(math.log(1.0 + n / r["df"])) for r in rows}, math.sqrt(math.log(1.0 + n))
 
 
 def with_word_counts(keys: DataFrame) -> DataFrame:
-    """keys (family, support) plus words and counts: in how many spellings each of the words occurs."""
+    """keys (family, support) plus id, words and counts: in how many spellings each of the words occurs. The result must be written before its ids are used."""
     at = keys.select("family", "support", F.posexplode(F.split("family", " ")).alias("pos", "word"))
     n = at.groupBy("word").agg(F.count(F.lit(1)).alias("n"))
     joined = at.join(n, "word").groupBy("family", "support").agg(F.array_sort(F.collect_list(F.struct("pos", "word", "n"))).alias("w"))  # the words of one name
-    return joined.select("family", "support", F.col("w.word").alias("words"), F.col("w.n").alias("counts"))
-
-
-def _scored(pairs: DataFrame, weights: tuple[dict[str, float], float]) -> DataFrame:
-    """pairs (u, v, u_counts, v_counts, ...) with cosine, those that pass threshold and exact check."""
-    table = pairs.sparkSession.sparkContext.broadcast(weights)
-
-    @pandas_udf(T.DoubleType())
-    def score(u: pd.Series, v: pd.Series, m: pd.Series, n: pd.Series) -> pd.Series:
-        weight, rare = table.value
-        out = []
-        for a, b, ca, cb in zip(u, v, m, n):
-            ok = same_words(a, b, dict(zip(a.split(), ca)) | dict(zip(b.split(), cb)))
-            c = 0.0
-            if ok:
-                x, y = grams(a), grams(b)
-                c = cosine(x, y, norm(x, weight, rare) * norm(y, weight, rare), weight, rare)
-            out.append(c if c >= THRESHOLD else 0.0)
-        return pd.Series(out, dtype="float64")
-
-    return pairs.withColumn("cosine", score("u", "v", "u_counts", "v_counts")).where("cosine > 0").select("u", "v", "support", "cosine")
+    return joined.select(F.monotonically_increasing_id().alias("id"), "family", "support", F.col("w.word").alias("words"), F.col("w.n").alias("counts"))
 
 
 def _join_keys() -> Column:
     """Hashes of whole words, and of pairs of n-grams of two different words, each a word's first or middle three letters or its last four; of a single word, n-grams about its first and its last letters, as of two words written together.
 
-    Where one word is written right, the whole word finds the name whatever happened to the other. Single n-grams are held by so many names that joining on them would grow with the square of the data; a pair is nearly as rare as the name itself.
+    Features of a name are pairs of n-grams, and names alike share many of them; these few suffice to meet one (see the README for what an exact cosine join finds besides). Single n-grams are held by so many names that
+    joining on them would grow with the square of the data; a pair is nearly as rare as the name itself.
     """
     three = "array_distinct(array(left(w, 3), substring(w, greatest((length(w) - 1) div 2, 1), 3), right(w, 4)))"
     pair = "xxhash64(least(a, b), greatest(a, b))"
     two = f"flatten(transform(words, (w, i) -> flatten(transform(slice(words, i + 2, size(words)), y -> flatten(transform({three}, a -> transform({three.replace('(w', '(y')}, b -> {pair})))))))"
-    one = f"flatten(transform(words, w -> flatten(transform(array(left(w, 3), substring(w, 3, 3), substring(w, 4, 3)), a -> transform(array(right(w, 4), substring(w, -5, 3), substring(w, -6, 3)), b -> {pair})))))"
+    one = f"flatten(transform(words, w -> flatten(transform(array(left(w, 3), substring(w, 2, 3), substring(w, 3, 3), substring(w, 4, 3)), a -> transform(array(right(w, 4), substring(w, -5, 3), substring(w, -6, 3), substring(w, -7, 3)), b -> {pair})))))"
     return F.expr(f"array_distinct(concat(transform(words, w -> xxhash64(w)), CASE WHEN size(words) = 1 THEN {one} ELSE {two} END))")
 
 
-def similar_spellings(keys: DataFrame, weights: tuple[dict[str, float], float]) -> DataFrame:
-    """(u, v, cosine, support, _r): for each spelling the most similar ones that are more frequent, at most TOP_N, best first; of equally frequent ones that whose words are more established counts as the more frequent.
+def _slip(x: str, y: str) -> Column:
+    """A condition that near_words implies: it counts letters left out and put in, which are never fewer than the edits."""
+    n, d = F.greatest(F.length(x), F.length(y)), F.levenshtein(x, y, 5)
+    return (d >= 0) & (d <= F.when(n <= 3, 0).when(n <= 6, 2).when(n <= 11, 4).otherwise(5))
+
 
-    keys: of with_word_counts. Spellings that hold a word which is not established, or is much rarer than another of theirs, are joined with all others on whole
-    words and on pairs of n-grams, one of each word, and the exact check decides: the distances in the join only leave out what it can't accept. The others are names as they should be. Weights are inverse document frequencies over all spellings.
+def candidate_spellings(keys: DataFrame) -> DataFrame:
+    """(u, v, u_id, v_id, u_counts, v_counts): each two spellings that share a join key and are near enough for the exact check, once.
+
+    keys: of with_word_counts, written. All spellings meet all others; the distances in the join only leave out what the exact check can't accept. Both sides are one exchange.
     """
-    least, two = F.array_min("counts"), F.size("words") == 2
+    two = F.size("words") == 2
     first, second = F.when(two, F.col("words")[0]).otherwise(F.col("family")), F.when(two, F.col("words")[1]).otherwise("")
-    side = lambda x: [first.alias(f"{x}1"), second.alias(f"{x}2"), F.col("support").alias(f"{x}_support"), least.alias(f"{x}_least")]
-    odd = keys.where((least < ESTABLISHED) | (least * RARER < F.array_max("counts")))
-    index = keys.select(F.explode(_join_keys()).alias("g"), *side("v"))
-    queries = odd.select(F.explode(_join_keys()).alias("g"), *side("u"))
+    index = keys.select(F.explode(_join_keys()).alias("g"), "id", first.alias("w1"), second.alias("w2"), F.array_join("counts", " ").alias("counts"))
+    side = lambda x: index.select("g", *(F.col(c).alias(f"{x}_{c}") for c in index.columns if c != "g"))
     c = F.col
-    tie = (c("v1") > c("u1")) | ((c("v1") == c("u1")) & (c("v2") > c("u2")))
-    more = (c("v_support") > c("u_support")) | ((c("v_support") == c("u_support")) & ((c("v_least") > c("u_least")) | ((c("v_least") == c("u_least")) & tie)))
-
-    def slip(x: str, y: str) -> Column:  # near_words counts letters left out and put in, which are never fewer than the edits
-        n, d = F.greatest(F.length(x), F.length(y)), F.levenshtein(x, y, 5)
-        return (d >= 0) & (d <= F.when(n <= 3, 0).when(n <= 6, 2).when(n <= 11, 4).otherwise(5))
-
-    by_word = (slip("u1", "v1") & slip("u2", "v2")) | (slip("u1", "v2") & slip("u2", "v1"))
+    by_word = (_slip("u_w1", "v_w1") & _slip("u_w2", "v_w2")) | (_slip("u_w1", "v_w2") & _slip("u_w2", "v_w1"))
     # one word for two, or a third word: compared without spaces, in either order of the words
     bare = lambda x, y: F.replace(F.concat(x, y), F.lit(" "), F.lit(""))
     near = lambda x, y: F.levenshtein(x, y, 5) >= 0
-    whole = near(bare("u1", "u2"), bare("v1", "v2")) | near(bare("u2", "u1"), bare("v1", "v2")) | near(bare("u1", "u2"), bare("v2", "v1"))
-    more_words = c("u1").contains(" ") | c("v1").contains(" ")  # of three words or more, two may be the name
-    alike = F.when((c("u2") != "") & (c("v2") != ""), by_word).otherwise(whole | more_words)
-    shared = queries.join(index, "g").where(more & alike).select(F.trim(F.concat_ws(" ", "u1", "u2")).alias("u"), F.trim(F.concat_ws(" ", "v1", "v2")).alias("v"), c("v_support").alias("support")).distinct()
-    counts = lambda c: keys.select(F.col("family").alias(c), F.col("counts").alias(f"{c}_counts"))
-    links = _scored(shared.join(counts("u"), "u").join(counts("v"), "v"), weights)
-    best = Window.partitionBy("u").orderBy(F.desc("cosine"), F.desc("support"), "v")
-    return links.withColumn("_r", F.row_number().over(best)).where(F.col("_r") <= TOP_N)
+    whole = near(bare("u_w1", "u_w2"), bare("v_w1", "v_w2")) | near(bare("u_w2", "u_w1"), bare("v_w1", "v_w2")) | near(bare("u_w1", "u_w2"), bare("v_w2", "v_w1"))
+    more_words = c("u_w1").contains(" ") | c("v_w1").contains(" ")  # of three words or more, two may be the name
+    alike = F.when((c("u_w2") != "") & (c("v_w2") != ""), by_word).otherwise(whole | more_words)
+    shared = side("u").join(side("v"), "g").where((c("u_id") < c("v_id")) & alike)
+    name = lambda x: F.trim(F.concat_ws(" ", f"{x}_w1", f"{x}_w2")).alias(x)
+    return shared.select(name("u"), name("v"), "u_id", "v_id", "u_counts", "v_counts").distinct()
+
+
+def similar_spellings(keys: DataFrame, weights: tuple[dict[str, float], float]) -> DataFrame:
+    """(u_id, v_id, cosine): each two spellings with a cosine of at least THRESHOLD that pass the exact check, once. Weights are inverse document frequencies over all spellings."""
+    pairs = candidate_spellings(keys)
+    table = keys.sparkSession.sparkContext.broadcast(weights)  # fewer than 28 ** 3 numbers
+
+    @pandas_udf(T.DoubleType())
+    def score(it: Iterator[tuple[pd.Series, pd.Series, pd.Series, pd.Series]]) -> Iterator[pd.Series]:
+        measure = NameCosine(*table.value)
+        for columns in it:
+            out = []
+            for a, b, m, n in zip(*columns):
+                c = measure.names(a, b)
+                if c >= THRESHOLD:
+                    count = dict(zip(a.split(" "), map(int, m.split(" ")))) | dict(zip(b.split(" "), map(int, n.split(" "))))
+                    c = c if same_words(a, b, count) else 0.0
+                out.append(c if c >= THRESHOLD else 0.0)
+            measure.known.clear()
+            yield pd.Series(out, dtype="float64")
+
+    return pairs.select("u_id", "v_id", score("u", "v", "u_counts", "v_counts").alias("cosine")).where("cosine > 0")
+
+
+def top_links(links: DataFrame, n: int = TOP_N) -> DataFrame:
+    """(a, b): of each spelling the n most similar ones; of equal cosines the smaller id comes first."""
+    both = links.select(F.explode(F.array(F.struct(F.col("u_id").alias("a"), F.col("v_id").alias("b")), F.struct(F.col("v_id").alias("a"), F.col("u_id").alias("b")))).alias("x"), "cosine")
+    best = Window.partitionBy("a").orderBy(F.desc("cosine"), "b")
+    return both.select("x.*", "cosine").withColumn("_r", F.row_number().over(best)).where(F.col("_r") <= n).select("a", "b")
 
 
 def average_linkage(n: int, sims: Sequence[Sequence[float]], cut: float) -> list[int]:
@@ -222,55 +260,47 @@ def average_linkage(n: int, sims: Sequence[Sequence[float]], cut: float) -> list
     return out
 
 
-def follow_links(parent: DataFrame, scratch: Scratch) -> DataFrame:
-    """parent (family, root; no cycles, written) where root is the end of the chain of links. Each round of pointer jumping doubles the links followed; they end when no root has a link of its own."""
-    jumped = parent
-    while True:
-        up = jumped.select(F.col("family").alias("root"), F.col("root").alias("_up"))
-        joined = scratch.write(jumped.join(up, "root", "left").select("family", F.coalesce("_up", "root").alias("root"), F.col("_up").isNotNull().alias("moved")))
-        jumped = joined.drop("moved")
-        if joined.where("moved").isEmpty():
-            return jumped
+def cluster_names(names: Sequence[str], counts: dict[str, int], measure: NameCosine) -> list[int]:
+    """Cluster number of each name by average linkage of cosines; two names that the exact check tells apart have similarity 0."""
+    sims = [array("d", [measure.names(names[i], names[j]) if same_words(names[i], names[j], counts) else 0.0 for j in range(i)]) for i in range(len(names))]
+    return average_linkage(len(names), sims, LINKAGE)
 
 
 def spelling_groups(keys: DataFrame, scratch: Scratch) -> DataFrame:
     """(family, root): spellings of one name share the most frequent of them as root; a spelling without links is not listed.
 
-    Each spelling follows its best link to a more frequent one; what ends at the same spelling is a candidate group, and average-linkage clustering divides it.
+    keys: (family, support). Spellings linked directly or through others are candidates for one name, and average-linkage clustering of all their cosines divides them. A component is
+    clustered whole, whatever its size: cut into parts it would cluster differently.
     """
     weights = gram_weights(keys)
-    links = similar_spellings(scratch.write(with_word_counts(keys)), weights)
-    parent = scratch.write(links.where("_r = 1").select(F.col("u").alias("family"), F.col("v").alias("root"), "cosine"))
-    jumped = follow_links(parent.drop("cosine"), scratch)
+    counted = scratch.write(with_word_counts(keys))
+    links = scratch.write(similar_spellings(counted, weights))
+    edges = scratch.write(top_links(links))
+    scratch.drop(links)
+    groups = connected_components(edges)
     table = keys.sparkSession.sparkContext.broadcast(weights)
-    grouped = jumped.groupBy("root").agg(F.sort_array(F.collect_list("family")).alias("members"))  # all spellings of a name: cut into parts, they would cluster differently
-
-    @pandas_udf(T.ArrayType(T.IntegerType()))
-    def cluster(root: pd.Series, members: pd.Series) -> pd.Series:
-        weight, rare = table.value
-        out = []
-        for r, ms in zip(root, members):
-            if len(ms) == 1:  # one link, which passed the threshold
-                out.append([0])
-                continue
-            names = [r, *ms]
-            g = [grams(n) for n in names]
-            size = [norm(x, weight, rare) for x in g]
-            sims = [array("d", [1.0]) * i for i in range(len(names))]
-            for i in range(1, len(names)):
-                for j in range(i):
-                    c = cosine(g[i], g[j], size[i] * size[j], weight, rare)
-                    if c < THRESHOLD and (not j or same_words(names[i], names[j], {})):  # linked, or one spelling of the other
-                        c = THRESHOLD
-                    sims[i][j] = c
-            found = average_linkage(len(names), sims, LINKAGE)
-            out.append([c - found[0] for c in found[1:]])
-        return pd.Series(out)
-
-    labelled = grouped.withColumn("c", cluster("root", "members")).select("root", F.explode(F.arrays_zip("members", "c")).alias("x"))
-    labelled = labelled.select("root", F.col("x.members").alias("family"), F.col("x.c").alias("c"))
-    own = labelled.where("c <> 0").groupBy("root", "c").agg(F.min("family").alias("_own"))
-    return labelled.join(own, ["root", "c"], "left").select("family", F.coalesce("_own", "root").alias("root"))
+    members = counted.join(groups, "id").select("group_id", F.struct((-F.col("support")).alias("order"), "family", "counts").alias("m"))
+    grouped = members.groupBy("group_id").agg(F.sort_array(F.collect_list("m")).alias("m")).select(F.col("m.family").alias("families"), F.col("m.counts").alias("counts"))
+
+    @pandas_udf(T.ArrayType(T.StringType()))
+    def roots(it: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
+        measure = NameCosine(*table.value)
+        for batch in it:
+            out = []
+            for names, ns in zip(*batch):
+                if len(names) == 2:  # one link, which passed threshold and check
+                    out.append([names[0], names[0]])
+                    continue
+                count = {w: int(c) for f, cs in zip(names, ns) for w, c in zip(f.split(" "), cs)}
+                first: dict[int, str] = {}
+                out.append([first.setdefault(k, f) for f, k in zip(names, cluster_names(names, count, measure))])
+            measure.known.clear()
+            yield pd.Series(out)
+
+    labelled = scratch.write(grouped.select(F.explode(F.arrays_zip("families", roots("families", "counts").alias("roots"))).alias("x")).select(F.col("x.families").alias("family"), F.col("x.roots").alias("root")))
+    scratch.drop(counted)
+    scratch.drop(edges)
+    return labelled
 
 
 def named_rows(records: DataFrame, pool: DataFrame) -> DataFrame:
@@ -281,17 +311,18 @@ def named_rows(records: DataFrame, pool: DataFrame) -> DataFrame:
     return texts.where("entity_id IS NOT NULL").select("entity_id", F.explode(parse_names("name", "alt")).alias("n")).select("entity_id", "n.*").distinct()
 
 
-def resolve_names(rows: DataFrame, scratch: Scratch) -> DataFrame:
-    """rows (written) plus root and org.
+def resolve_names(names: DataFrame, scratch: Scratch) -> DataFrame:
+    """names (family, given, trades, n; distinct, written) plus root and org.
 
     root: the most frequent spelling of the family words. org: root, and where several given names occur with it, the given name too: members of a
-    family are different persons. An initial stands for the only given name of the family that begins with it; a row without a given name belongs to the
-    only one, or to the only one in its trade; else it stays apart. Names that one row bears side by side are one org.
+    family are different persons. An initial stands for the only given name of the family that begins with it; a name without a given name belongs to the
+    only one, or to the only one in its trade; else it stays apart.
     """
-    keys = scratch.write(rows.groupBy("family").agg(F.count(F.lit(1)).alias("support")))
+    keys = scratch.write(names.groupBy("family").agg(F.sum("n").alias("support")))
     roots = spelling_groups(keys, scratch)
-    rooted = rows.join(roots, "family", "left").withColumn("root", F.coalesce("root", "family"))
-    rooted = scratch.write(rooted)
+    rooted = scratch.write(names.drop("n").join(roots, "family", "left").withColumn("root", F.coalesce("root", "family")))
+    scratch.drop(keys)
+    scratch.drop(roots)
     full = rooted.where("given <> '' AND given NOT LIKE '?%'")
     per_root = full.groupBy("root").agg(F.collect_set(F.struct("given", F.col("trades").alias("t"))).alias("known"))  # given names and trades come from fixed lists
     joined = rooted.join(per_root, "root", "left").withColumns(
@@ -305,17 +336,24 @@ def resolve_names(rows: DataFrame, scratch: Scratch) -> DataFrame:
         .when(F.col("given").startswith("?"), F.when(F.size(fits) == 1, F.get(fits, F.lit(0))).otherwise(F.col("given")))
         .otherwise(F.col("given"))
     )
-    return joined.select("entity_id", "family", "given", "trades", "root", F.concat_ws("|", "root", who).alias("org"))
+    out = scratch.write(joined.select("family", "given", "trades", "root", F.concat_ws("|", "root", who).alias("org")))
+    scratch.drop(rooted)
+    return out
 
 
 def organisations(rows: DataFrame, scratch: Scratch) -> DataFrame:
-    """(entity_id, org, root) of all names, where names borne by one row have become one org."""
-    named = scratch.write(resolve_names(rows, scratch))
-    several = named.groupBy("entity_id").agg(F.min("org").alias("a"), F.max("org").alias("b"), F.collect_set("org").alias("all")).where("a < b")
+    """(entity_id, org, root, family, given) of all names, where names borne by one row have become one org. rows: of named_rows, written; dropped here."""
+    names = scratch.write(rows.groupBy("family", "given", "trades").agg(F.count(F.lit(1)).alias("n")))
+    resolved = resolve_names(names, scratch)
+    named = scratch.write(rows.join(resolved, ["family", "given", "trades"]).select("entity_id", "org", "root", "family", "given"))
+    for done in (rows, names, resolved):
+        scratch.drop(done)
+    several = named.groupBy("entity_id").agg(F.min("org").alias("a"), F.max("org").alias("b"), F.collect_set("org").alias("all")).where("a < b")  # the names of one row
     edges = several.select("a", F.explode("all").alias("b")).where("a < b").distinct()
     joint = connected_components(edges).select(F.col("id").alias("org"), "group_id")
-    merged = named.join(joint, "org", "left").select("entity_id", F.coalesce("group_id", "org").alias("org"), "root", "family", "given")
-    return scratch.write(merged)
+    merged = scratch.write(named.join(joint, "org", "left").select("entity_id", F.coalesce("group_id", "org").alias("org"), "root", "family", "given"))
+    scratch.drop(named)
+    return merged
 
 
 def same_name_pairs(records: DataFrame, pool: DataFrame) -> DataFrame:

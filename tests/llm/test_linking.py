@@ -1,8 +1,10 @@
 import random
+from itertools import combinations
 
 import pytest
+from pyspark.sql import functions as F
 
-from linkweave.llm import entity_matching, location_links, name_links
+from linkweave.llm import components, entity_matching, location_links, name_links
 from linkweave.llm.addresses import parse_address
 from linkweave.llm.names import parse_name
 from linkweave.llm.pairing import pairs_within
@@ -82,13 +84,6 @@ def test_one_word_right_finds_the_name(spark):
     assert found == {("S2-0", "S2-1"), ("S2-2", "S2-3"), ("S2-4", "S2-5")}
 
 
-@pytest.mark.parametrize("length", [1, 4, 5, 23])
-def test_chains_of_links_are_followed_to_their_end(spark, length):
-    parent = spark.createDataFrame([(f"w{k}", f"w{k + 1}") for k in range(length)] + [("x", "y")], "family string, root string")
-    found = {tuple(x) for x in name_links.follow_links(parent, Scratch(spark, "chain")).collect()}
-    assert found == {(f"w{k}", f"w{length}") for k in range(length)} | {("x", "y")}
-
-
 def plain_linkage(n, sims, cut):
     clusters = [[i] for i in range(n)]
     while len(clusters) > 1:
@@ -111,18 +106,49 @@ def test_average_linkage_against_plain():
         assert {frozenset(i for i in range(n) if found[i] == k) for k in found} == plain_linkage(n, sims, 0.3)
 
 
-def test_large_groups_are_clustered_whole(spark, monkeypatch):
+def test_large_components_are_clustered_whole(spark, monkeypatch):
     slips = lambda w, v, letters: [f"{w} {v[:i]}{c}{v[i:]}" for i in range(1, 10) for c in letters]
     right, lone = "stehamockand praguvibrest", "abralust nivogrex"
-    near, away = slips(*right.split(), "aeioubdgklmnprstvz"), slips("fokijuhul", "dulonekafirt", "aeioubdglmn")  # all follow one spelling, but some are another name
-    links = [(s, right, 9, 0.5, 1) for s in [*near, *away, lone]]
-    monkeypatch.setattr(name_links, "similar_spellings", lambda keys, weights: spark.createDataFrame(links, "u string, v string, support long, cosine double, _r int"))
-    keys = spark.createDataFrame([(right, 9), *((s, 1) for s in sorted({*near, *away, lone}))], "family string, support long")
+    near, away = slips(*right.split(), "aeioubdgklmnprstvz"), slips("fokijuhul", "dulonekafirt", "aeioubdglmn")  # all are linked to one spelling, but some are another name
+    names = [right, lone, *near, *away]
+    monkeypatch.setattr(name_links, "similar_spellings", lambda keys, weights: keys.where(F.col("family") != right).crossJoin(keys.where(F.col("family") == right).select(F.col("id").alias("v_id"))).select(F.col("id").alias("u_id"), "v_id", F.lit(0.5).alias("cosine")))
+    monkeypatch.setattr(name_links, "top_links", lambda links: links.select(F.col("u_id").alias("a"), F.col("v_id").alias("b")))
+    keys = spark.createDataFrame([(right, 9), *((s, 1) for s in sorted(set(names) - {right}))], "family string, support long")
     root = {r["family"]: r["root"] for r in name_links.spelling_groups(keys, Scratch(spark, "large")).collect()}
     assert len(root) > 200 and {root[s] for s in near} == {right} and len({root[s] for s in away}) == 1
     assert len({right, root[away[0]], root[lone]}) == 3
 
 
+def test_linkage_splits_a_chained_component(spark):
+    chain = ["bralotis nemugard", "bralutis nemugard", "brulutis nemugard", "brulutas nemugard", "brulutas nemuvard", "brulutas nimuvard", "brulutas nimuvord"]  # each is a slip of the one before
+    keys = spark.createDataFrame([(n, 9 - k) for k, n in enumerate(chain)], "family string, support long")
+    scratch = Scratch(spark, "chained")
+    counted = scratch.write(name_links.with_word_counts(keys))
+    links = name_links.similar_spellings(counted, name_links.gram_weights(keys))
+    assert len({r["group_id"] for r in components.connected_components(links, "u_id", "v_id").collect()}) == 1
+    root = {r["family"]: r["root"] for r in name_links.spelling_groups(keys, scratch).collect()}
+    assert len(root) == len(chain) and root[chain[0]] != root[chain[-1]] and root[chain[0]] == root[chain[1]]
+
+
+def test_join_finds_what_an_exact_cosine_join_finds(spark, sf):
+    rows = name_links.named_rows(*(spark.read.parquet(f"{sf}/{t}.parquet") for t in ("records", "pool")))
+    keys = rows.groupBy("family").agg(F.count(F.lit(1)).alias("support"))
+    weights = name_links.gram_weights(keys)
+    counted = Scratch(spark, "exact").write(name_links.with_word_counts(keys))
+    found = {(r["u_id"], r["v_id"]) for r in name_links.similar_spellings(counted, weights).collect()}
+    names = [(r["id"], r["family"], dict(zip(r["words"], r["counts"]))) for r in sorted(counted.collect())]
+    measure = name_links.NameCosine(*weights)
+    want = {(i, j) for (i, a, m), (j, b, n) in combinations(names, 2) if measure.names(a, b) >= name_links.THRESHOLD and name_links.same_words(a, b, m | n)}
+    assert found <= want and len(want) > 100 and len(found) >= 0.9 * len(want)
+
+
+def test_top_links(spark):
+    links = spark.createDataFrame([(1, 2, 0.9), (1, 3, 0.8), (1, 4, 0.8), (3, 4, 0.5)], "u_id long, v_id long, cosine double")
+    assert {tuple(r) for r in name_links.top_links(links, 1).collect()} == {(1, 2), (2, 1), (3, 1), (4, 1)}
+    assert {tuple(r) for r in name_links.top_links(links, 2).collect()} == {(1, 2), (1, 3), (2, 1), (3, 1), (3, 4), (4, 1), (4, 3)}
+    assert name_links.top_links(links.limit(0)).count() == 0
+
+
 def test_families_trade_names_and_blanks(spark):
     r = records(spark, [("S1-1", "richard mozafom bragekond brokers", ""), ("S1-2", "margaret mozafom bragekond brokers", ""), ("S1-3", "dick bragekond mozafom brkrs", ""), ("S1-4", None, ""), ("S1-5", "nan", ""), ("S1-1", "richard mozafom bragekond brokers", "")])
     p = pool(spark, [("S2-1", "r mozafom bragekond brokers", "", ""), ("S2-2", "kolupart nizagrom foods dba velatrist hupogand mart", "velatrist hupogand mart", ""), ("S3-1", "velatrist hupogand mart", "", ""), ("S3-2", "kolupart nizagrom food products", "", ""), ("S3-3", "", "", ""), ("S3-4", "", "", "")])
