@@ -66,7 +66,7 @@ _ORDINAL_PLACE = re.compile(r"\b(phase|sector|ward|zone|block)\s+\d+\b")
 
 
 _WORDS_AND_MARKS = re.compile(r"[a-z]+|[,|.-]")
-_DIGIT_LETTER = re.compile(r"(?<=[a-z])0(?=[a-z]{2})|(?<=[a-z]{2})0(?=[a-z])|(?<=[a-z]{2})1(?=[a-z\s,.]|$)|(?<=[a-z]{3})0(?=[\s,.]|$)")
+_DIGIT_LETTER = re.compile(r"(?<=[a-z])0(?=[a-z]{2})|(?<=[a-z]{2})0(?=[a-z])|(?<=[a-z]{2})1(?=[a-z\s,.]|$)(?!\s\d[a-z]{2}\b)|(?<=[a-z]{3})0(?=[\s,.]|$)")
 
 
 _MAIN_ROAD = re.compile(r"\b(?:main|mn)\s(?:road|raod|rod|rd)\b")
