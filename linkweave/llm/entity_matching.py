@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -10,7 +12,8 @@ from linkweave.llm.name_links import named_rows, organisations
 from linkweave.operators.packed import id_plain_form, split_packed
 from linkweave.plans.lineage import Scratch
 
-RULES = ("organisation and location", "family name and location", "name word and location", "organisation and house number", "only organisation at a location", "only location of an organisation")
+#: What each pass of the cascade joins on, the strongest first.
+RULES = ("organisation and location", "family name and location", "name word and location", "organisation, house number and part of the street", "only organisation at a location", "only location of an organisation")
 #: Smoothing of a rule's precision: so many right and wrong pairs are added.
 PRIOR = (1.0, 1.0)
 
@@ -21,57 +24,68 @@ def _compatible(a: Column, b: Column) -> Column:
     return (a == "") | (b == "") | (a == b) | ((a.startswith("?") | b.startswith("?")) & (first(a) == first(b)))
 
 
-def match_entities(records: DataFrame, pool: DataFrame, matches: DataFrame) -> DataFrame:
+def _attributes(records: DataFrame, pool: DataFrame, alias: DataFrame, scratch: Scratch) -> DataFrame:
+    """(entity_id, org, root, family, given, location, region, code, street, number): what each row's names and address denote, written; a row of several names comes once per name. number has the street's type."""
+    named = organisations(scratch.write(named_rows(records, pool)), scratch)
+    located = resolve_locations(addressed_rows(records, pool, alias), scratch)
+    part = lambda k: F.get(F.split("location", r"\|"), F.lit(k))
+    last = lambda k: F.element_at(F.split("location", r"\|"), -k)
+    house = ~F.col("location").startswith("landmark|")
+    parts = [F.when(house, x).alias(c) for x, c in ((part(0), "region"), (part(1), "code"), (part(2), "street"), (F.concat_ws("|", last(2), last(1)), "number"))]
+    out = scratch.write(named.join(located.select("entity_id", "location", *parts), "entity_id", "full"))
+    scratch.drop(named)
+    scratch.drop(located)
+    return out
+
+
+def match_entities(records: DataFrame, pool: DataFrame, matches: DataFrame, alias: DataFrame) -> DataFrame:
     """(source1_entity_id, candidate_entity_id, rule, confidence) of all source-1 records and pool rows.
 
-    Keys are the organisation and the location that a row's name and address denote (see name_links and location_links). The rules of RULES
-    are exact joins on weaker and weaker combinations; a pool row that a rule matched is resolved and takes no part in later ones. The last two serve rows
-    without a name or without an address, where all other rows of that location, or of that organisation, agree. confidence: the share of a rule's pairs that matches confirms, over the records that matches lists
-    something for, smoothed by PRIOR. A pair found twice keeps its first rule. Empty tables give no pair.
+    Keys are the organisation and the location that a row's name, address and country denote (see name_links and location_links). The rules of RULES
+    are exact joins on weaker and weaker combinations; a pool row that a rule matched is resolved and is anti-joined from later passes. The last two serve rows
+    without a name or without an address, where all other rows of that location, or of that organisation, agree; such a record can't be resolved before, and takes resolved pool rows too, which may belong to several records. confidence: the share of a rule's pairs that matches confirms, over the records that matches lists
+    something for, smoothed by PRIOR. So a pair has one rule. Empty tables give no pair.
     """
     scratch = Scratch(records.sparkSession, "entities")
-    named = organisations(scratch.write(named_rows(records, pool)), scratch)
-    located = resolve_locations(addressed_rows(records, pool), scratch).select("entity_id", "location")
-    both = scratch.write(named.join(located, "entity_id", "full"))
+    both = _attributes(records, pool, alias, scratch)
     is_s1 = F.col("entity_id").startswith("S1-")
-    left = both.where(is_s1).select(F.col("entity_id").alias("s"), *(F.col(c).alias(c if c in ("org", "root", "location") else f"s_{c}") for c in ("org", "root", "location", "family", "given")))
-    right = both.where(~is_s1).select(F.col("entity_id").alias("c"), *(F.col(c).alias(c if c in ("org", "root", "location") else f"c_{c}") for c in ("org", "root", "location", "family", "given")))
+    shared = ("org", "root", "location", "number")
+    side = lambda rows, i: rows.select(F.col("entity_id").alias(i), *(F.col(c).alias(c if c in shared else f"{i}_{c}") for c in both.columns if c != "entity_id"))
+    left, right = side(both.where(is_s1), "s"), side(both.where(~is_s1), "c")
     fits = _compatible(F.col("s_given"), F.col("c_given"))
-    number = F.when(~F.col("location").startswith("landmark|"), F.concat_ws("|", F.element_at(F.split("location", r"\|"), -2), F.element_at(F.split("location", r"\|"), -1)))
     word = lambda df, c: df.where(f"{c} IS NOT NULL").withColumn("word", F.explode(F.split(c, " "))).where("length(word) > 4")
-    numbered = lambda df: df.where("location IS NOT NULL").withColumn("number", number)
-    resolved = None
-    parts = []
-
-    def run(rule: int, pairs: DataFrame) -> None:
-        nonlocal resolved
-        found = scratch.write(pairs.select("s", "c").distinct())
-        parts.append(found.withColumn("rule", F.lit(rule)))
-        done = found.select("c").distinct()
-        resolved = done if resolved is None else resolved.unionByName(done)
-
-    def unresolved(df: DataFrame) -> DataFrame:
-        return df.join(resolved.distinct(), "c", "left_anti")
-
-    run(0, left.join(right, ["org", "location"]))
-    run(1, left.join(unresolved(right), ["root", "location"]).where(fits))
-    run(2, word(left, "s_family").join(word(unresolved(right), "c_family"), ["word", "location"]).where(fits))
-    run(3, numbered(left).join(numbered(unresolved(right)), ["org", "number"]))
     orgs = both.where("location IS NOT NULL AND org IS NOT NULL").select("location", "org").distinct()
     lone_org = orgs.groupBy("location").agg(F.count(F.lit(1)).alias("n")).where("n = 1").select("location")
     lone_location = orgs.groupBy("org").agg(F.count(F.lit(1)).alias("n")).where("n = 1").select("org")
     nameless = lambda df: df.where("org IS NULL")
     homeless = lambda df: df.where("location IS NULL")
-    at_lone = lambda a, b: a.join(lone_org, "location", "left_semi").join(b, "location")
-    of_lone = lambda a, b: a.join(lone_location, "org", "left_semi").join(b, "org")
-    five = at_lone(nameless(left), right.select("c", "location")).select("s", "c").unionByName(at_lone(nameless(right), left.select("s", "location")).select("s", "c"))
-    run(4, five)
-    six = of_lone(homeless(left), right.select("c", "org")).select("s", "c").unionByName(of_lone(homeless(right), left.select("s", "org")).select("s", "c"))
-    run(5, six)
-    pairs = parts[0]
-    for p in parts[1:]:
-        pairs = pairs.unionByName(p)
-    pairs = scratch.write(pairs.groupBy("s", "c").agg(F.min("rule").alias("rule")))
+    near_street = (F.col("s_code") == F.col("c_code")) & (F.col("s_code") != "") | (F.levenshtein("s_street", "c_street", 2) >= 0)
+    same_region = (F.col("s_region") == F.col("c_region")) | (F.col("s_region") == "") | (F.col("c_region") == "")
+
+    def at_lone(key: str, lone: DataFrame, lacking: Callable[[DataFrame], DataFrame]) -> Callable[[DataFrame, DataFrame], DataFrame]:
+        one_way = lambda a, b: lacking(a).join(lone, key, "left_semi").join(b, key).select("s", "c")
+        return lambda l, r: one_way(l, right).unionByName(one_way(r, l))
+
+    passes = (
+        lambda l, r: l.join(r, ["org", "location"]),
+        lambda l, r: l.join(r, ["root", "location"]).where(fits),
+        lambda l, r: word(l, "s_family").join(word(r, "c_family"), ["word", "location"]).where(fits),
+        lambda l, r: l.join(r, ["org", "number"]).where(near_street & same_region),
+        at_lone("location", lone_org, nameless),
+        at_lone("org", lone_location, homeless),
+    )
+    pairs = None
+    rest = right
+    for rule, join in enumerate(passes):
+        found = scratch.write(join(left, rest).select("s", "c").distinct())
+        with_rule = found.withColumn("rule", F.lit(rule))
+        pairs = with_rule if pairs is None else pairs.unionByName(with_rule)
+        if rule + 1 < len(passes):
+            before, rest = rest, scratch.write(rest.join(found.select("c").distinct(), "c", "left_anti"))  # resolved rows take no part in later passes
+            if rule:
+                scratch.drop(before)
+    scratch.drop(rest)
+    scratch.drop(both)
     truth = split_packed(matches, "matched_entity_ids", ["source1_entity_id"], "c").select(id_plain_form(F.col("source1_entity_id")).alias("s"), "c").distinct()
     judged = pairs.join(truth.select("s").distinct(), "s", "left_semi").join(truth.withColumn("right", F.lit(1)), ["s", "c"], "left")
     per_rule = judged.groupBy("rule").agg(F.count(F.lit(1)).alias("n"), F.count("right").alias("k"))  # one row per rule

@@ -74,18 +74,24 @@ def p5_found(spark, d):
 
 @query
 def p6_found(spark, d):
-    return location_links.same_location_pairs(*_read(spark, d, "records", "pool"))
+    return location_links.same_location_pairs(*_read(spark, d, "records", "pool", "country_alias"))
+
+
+@query
+def p6_locations(spark, d):
+    rows = location_links.addressed_rows(*_read(spark, d, "records", "pool", "country_alias"))
+    return location_links.resolve_locations(rows, Scratch(spark, "locations"))
 
 
 @query
 def p7_matches(spark, d):
-    return entity_matching.match_entities(*_read(spark, d, "records", "pool", "train_matches"))
+    return entity_matching.match_entities(*_read(spark, d, "records", "pool", "train_matches", "country_alias"))
 
 
 @query
 def p7_found(spark, d):
-    records, pool, matches = _read(spark, d, "records", "pool", "train_matches")
-    pairs = entity_matching.unmatched_records(entity_matching.match_entities(records, pool, matches), matches)
+    records, pool, matches, alias = _read(spark, d, "records", "pool", "train_matches", "country_alias")
+    pairs = entity_matching.unmatched_records(entity_matching.match_entities(records, pool, matches, alias), matches)
     return pairs.select("source1_entity_id", "candidate_entity_id")
 
 

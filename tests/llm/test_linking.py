@@ -18,8 +18,12 @@ def records(spark, data):
     return spark.createDataFrame([(k, i, n, a, "Us") for k, (i, n, a) in enumerate(data)], R)
 
 
-def pool(spark, data):
-    return spark.createDataFrame([(i, i[:2], "us", n, n, alt, a, "") for i, n, alt, a in data], PO)
+def pool(spark, data, country="us"):
+    return spark.createDataFrame([(i, i[:2], country, n, n, alt, a, "") for i, n, alt, a in data], PO)
+
+
+def alias(spark):
+    return spark.createDataFrame([("us", "us"), ("u.s.", "us"), ("de", "germany"), ("germany", "germany")], "alias_name string, country string")
 
 
 @pytest.mark.parametrize(
@@ -163,28 +167,75 @@ def test_same_locations(spark):
         ("S2-4", "112b cuprigrast parkway suzelport 67243"), ("S2-5", "112 cuprigrast lane suzelport 67243"), ("S3-1", "114 cuprigrast parkway, near bibijes temple, suzelport 67243"),
         ("S3-2", "opposite bibijes temple, suzelport 67243"), ("S3-3", ""), ("S3-4", "112 cuprigrast parkway, otherport 55555"), ("S3-5", "12 cuprigrast parkway, otherport 55555"),
     ]
-    found = {tuple(x) for x in location_links.same_location_pairs(records(spark, []), pool(spark, [(i, "x", "", t) for i, t in a])).collect()}
+    found = {tuple(x) for x in location_links.same_location_pairs(records(spark, []), pool(spark, [(i, "x", "", t) for i, t in a]), alias(spark)).collect()}
     assert found == {("S2-1", "S2-2"), ("S2-1", "S2-3"), ("S2-2", "S2-3"), ("S3-1", "S3-2")}
-    assert location_links.same_location_pairs(records(spark, []), pool(spark, [])).count() == 0
+    assert location_links.same_location_pairs(records(spark, []), pool(spark, []), alias(spark)).count() == 0
 
 
 def test_all_streets_of_a_postcode(spark):
     a = [f"{n} drefecock road, suzelport 88413" for n in (1, 2, 3, 4)] + ["14 bracavil road, suzelport 88413", "14 bracavil rd, suzelport 88413", "14 bracail road, suzelport 88413", "14 bracavyl road, suzelport 88413", "14 bracavil road, suzelport"]
-    found = {tuple(x) for x in location_links.same_location_pairs(records(spark, []), pool(spark, [(f"S2-{k}", "x", "", t) for k, t in enumerate(a)])).collect()}
+    found = {tuple(x) for x in location_links.same_location_pairs(records(spark, []), pool(spark, [(f"S2-{k}", "x", "", t) for k, t in enumerate(a)]), alias(spark)).collect()}
     assert found == {(f"S2-{i}", f"S2-{j}") for i in range(4, 9) for j in range(i + 1, 9)}
 
 
+def test_slips_of_a_second_street_of_a_postcode(spark):
+    a = [f"{n} cuprigrast parkway, suzelport 67243" for n in (1, 2, 3, 4, 5)] + ["40 zozumixel lane, suzelport 67243"] * 2 + ["40 zozumixal lane, suzelport 67243", "40 zozumxel lane, suzelport 67243"]
+    found = {tuple(x) for x in location_links.same_location_pairs(records(spark, []), pool(spark, [(f"S2-{k}", "x", "", t) for k, t in enumerate(a)]), alias(spark)).collect()}
+    assert found == {(f"S2-{i}", f"S2-{j}") for i in range(5, 9) for j in range(i + 1, 9)}
+
+
+def test_regions_keep_streets_apart(spark):
+    a = "7 lone road, lonetown 11111"
+    rows = pool(spark, [(f"S2-{k}", "x", "", a) for k in (1, 2)], "U.S. ").unionByName(pool(spark, [(f"S2-{k}", "x", "", a) for k in (3, 4)], "germany"))
+    pairs = lambda p: {tuple(x) for x in location_links.same_location_pairs(records(spark, []), p, alias(spark)).collect()}
+    assert pairs(rows) == {("S2-1", "S2-2"), ("S2-3", "S2-4")}
+    unknown = pool(spark, [("S2-5", "x", "", a)], "somewhere")
+    assert pairs(rows.unionByName(unknown)) == {("S2-1", "S2-2"), ("S2-3", "S2-4")}  # either region is possible
+    assert pairs(rows.where("country <> 'germany'").unionByName(unknown)) == {("S2-1", "S2-2"), ("S2-1", "S2-5"), ("S2-2", "S2-5")}  # a missing region inherits the only one
+    located = location_links.resolve_locations(location_links.addressed_rows(records(spark, []), rows.unionByName(unknown), alias(spark)), Scratch(spark, "regions"))
+    assert {r["entity_id"]: r["candidates"] for r in located.collect()} == {"S2-1": 1, "S2-2": 1, "S2-3": 1, "S2-4": 1, "S2-5": 2}
+
+
+def test_masked_postcodes(spark):
+    codes = ["12345", "1245", "12x45", "123456", "21345", "99999", "zu14fe", "a", ""]
+    df = spark.createDataFrame([(c,) for c in codes], "code string").withColumn("m", location_links._masked(F.col("code")))
+    masks = {r["code"]: set(r["m"]) for r in df.collect()}
+    assert masks["12345"] & masks["1245"] and masks["12345"] & masks["12x45"] and masks["12345"] & masks["123456"] and not masks["12345"] & masks["99999"]
+    assert masks["a"] == {"a", ""} and masks[""] == {""}
+
+
+def test_passes_leave_resolved_rows_out(spark):
+    home = "438 zozumix road, pafalpatti 15677"
+    r = records(spark, [("S1-1", "fosikust mubrajeth plumbers", home), ("S1-2", "fosikust galibrend plumbers", home)])
+    p = pool(spark, [("S2-1", "mubrajeth fosikust plmbg", "", home), ("S2-2", "fosikust galibrend plumbers", "", home), ("S2-3", "fosikust plumbers trelomand", "", home)])
+    m = spark.createDataFrame([], "row_ordinal long, source1_entity_id string, matched_entity_ids string")
+    out = entity_matching.match_entities(r, p, m, alias(spark)).collect()
+    assert {(x[0], x[1]) for x in out if x[2] == entity_matching.RULES[0]} == {("S1-1", "S2-1"), ("S1-2", "S2-2")}
+    assert {(x[0], x[1]) for x in out if x[2] == entity_matching.RULES[2]} == {("S1-1", "S2-3"), ("S1-2", "S2-3")}  # a word in common resolves only what is left
+    rules = {}
+    for x in out:
+        rules.setdefault(x[1], set()).add(x[2])
+    assert all(len(v) == 1 for v in rules.values())
+
+
+def test_house_number_needs_the_street(spark):
+    r = records(spark, [("S1-1", "fosikust mubrajeth plumbers", "12 zozumix road, pafalpatti 15677")])
+    p = pool(spark, [("S2-1", "fosikust mubrajeth plumbers", "", "12 telorand road, dilotown 88412"), ("S2-2", "fosikust mubrajeth plumbers", "", "12 zozumux road 99120")])
+    m = spark.createDataFrame([], "row_ordinal long, source1_entity_id string, matched_entity_ids string")
+    assert {(x[0], x[1], x[2]) for x in entity_matching.match_entities(r, p, m, alias(spark)).collect()} == {("S1-1", "S2-2", entity_matching.RULES[3])}
+
+
 def test_matches_and_confidence(spark):
     r = records(spark, [("S1-1", "fosikust mubrajeth plumbers ltd", "438 zozumix road, pafalpatti 15677"), ("S1-2", "fosikust mubrajeth plumbing", "12 other lane, elsewhere 99999"), ("S1-3", None, "7 lone road, lonetown 11111"), ("S1-4", "kolupart nizagrom foods", None)])
     p = pool(spark, [("S2-1", "mubrajeth fosikust plmbg", "", "438 zozumix rd pafalpatti 15677"), ("S2-2", "velatrist hupogand mart", "", "7 lone road, lonetown 11111"), ("S3-1", "kolupart nizagrom food", "", "9 some lane, sometown 22222"), ("S3-2", "", "", "")])
     m = spark.createDataFrame([(0, "S1-1", "S2-1")], "row_ordinal long, source1_entity_id string, matched_entity_ids string")
-    out = entity_matching.match_entities(r, p, m)
+    out = entity_matching.match_entities(r, p, m, alias(spark))
     got = {(x[0], x[1]): (x[2], round(x[3], 3)) for x in out.collect()}
     assert got == {
         ("S1-1", "S2-1"): (entity_matching.RULES[0], 0.667), ("S1-3", "S2-2"): (entity_matching.RULES[4], 0.5), ("S1-4", "S3-1"): (entity_matching.RULES[5], 0.5),
     }
     assert {x[0] for x in entity_matching.unmatched_records(out, m).collect()} == {"S1-3", "S1-4"}
-    assert entity_matching.match_entities(r.limit(0), p.limit(0), m.limit(0)).count() == 0
+    assert entity_matching.match_entities(r.limit(0), p.limit(0), m.limit(0), alias(spark).limit(0)).count() == 0
 
 
 def test_pairs_of_a_sliced_group(spark):
