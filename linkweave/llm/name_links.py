@@ -24,9 +24,9 @@ THRESHOLD = 0.4
 LINKAGE = 0.25
 #: Links kept of each spelling, the most similar first.
 TOP_N = 5
-#: A word is a word in its own right beside another one that is at most so many times as frequent; SMOOTH spellings are added to the more frequent one, so few spellings prove nothing.
+#: A word is a word in its own right beside another one that is at most RARER times as frequent, if it occurs in at least SEEN spellings: the same slip seldom happens so often.
 RARER = 5
-SMOOTH = 10
+SEEN = 3
 
 
 @pandas_udf(T.StringType())
@@ -96,7 +96,14 @@ def near_words(a: str, b: str) -> bool:
 def two_words(x: str, y: str, count: dict[str, int]) -> bool:
     """Whether both are words in their own right: neither is rare beside the other, as a slip would be."""
     few, many = sorted((count.get(x, 1), count.get(y, 1)))
-    return few * RARER >= many + SMOOTH
+    return few >= SEEN and few * RARER >= many
+
+
+def apart(u: str, v: str, count: dict[str, int]) -> bool:
+    """Whether two names differ in one word, and both ways of it are words in their own right."""
+    a, b = u.split(" "), v.split(" ")
+    x, y = [w for w in a if w not in b], [w for w in b if w not in a]
+    return len(x) == len(y) == 1 and two_words(x[0], y[0], count)
 
 
 def same_words(a: str, b: str, count: dict[str, int]) -> bool:
@@ -140,15 +147,15 @@ def with_word_counts(keys: DataFrame) -> DataFrame:
 
 
 def _join_keys() -> Column:
-    """Hashes of whole words, and of pairs of n-grams of two different words, each a word's first or middle three letters or its last four; of a single word, n-grams about its first and its last letters, as of two words written together.
+    """Hashes of whole words, and of pairs of n-grams of two different words, each a word's first three letters, its middle four or its last four; of a single word, n-grams about its first and its last letters, as of two words written together.
 
     Features of a name are pairs of n-grams, and names alike share many of them; these few suffice to meet one (see the README for what an exact cosine join finds besides). Single n-grams are held by so many names that
     joining on them would grow with the square of the data; a pair is nearly as rare as the name itself.
     """
-    three = "array_distinct(array(left(w, 3), substring(w, greatest((length(w) - 1) div 2, 1), 3), right(w, 4)))"
+    three = "array_distinct(array(left(w, 3), substring(w, greatest((length(w) - 3) div 2, 0) + 1, 4), right(w, 4)))"
     pair = "xxhash64(least(a, b), greatest(a, b))"
     two = f"flatten(transform(words, (w, i) -> flatten(transform(slice(words, i + 2, size(words)), y -> flatten(transform({three}, a -> transform({three.replace('(w', '(y')}, b -> {pair})))))))"
-    one = f"flatten(transform(words, w -> flatten(transform(array(left(w, 3), substring(w, 2, 3), substring(w, 3, 3), substring(w, 4, 3)), a -> transform(array(right(w, 4), substring(w, -5, 3), substring(w, -6, 3), substring(w, -7, 3)), b -> {pair})))))"
+    one = f"flatten(transform(words, w -> flatten(transform(array(left(w, 3), substring(w, 2, 4), substring(w, 3, 4), substring(w, 4, 4)), a -> transform(array(right(w, 4), substring(w, -5, 4), substring(w, -6, 4), substring(w, -7, 4)), b -> {pair})))))"
     return F.expr(f"array_distinct(concat(transform(words, w -> xxhash64(w)), CASE WHEN size(words) = 1 THEN {one} ELSE {two} END))")
 
 
@@ -165,17 +172,21 @@ def candidate_spellings(keys: DataFrame) -> DataFrame:
     """
     two = F.size("words") == 2
     first, second = F.when(two, F.col("words")[0]).otherwise(F.col("family")), F.when(two, F.col("words")[1]).otherwise("")
-    index = keys.select(F.explode(_join_keys()).alias("g"), "id", first.alias("w1"), second.alias("w2"), F.array_join("counts", " ").alias("counts"))
+    index = keys.select(F.explode(_join_keys()).alias("g"), "id", first.alias("w1"), second.alias("w2"), F.array_join("counts", " ").alias("counts"), F.array_min("counts").alias("least"), F.array_max("counts").alias("most"))
     side = lambda x: index.select("g", *(F.col(c).alias(f"{x}_{c}") for c in index.columns if c != "g"))
     c = F.col
-    by_word = (_slip("u_w1", "v_w1") & _slip("u_w2", "v_w2")) | (_slip("u_w1", "v_w2") & _slip("u_w2", "v_w1"))
+    straight, crossed = _slip("u_w1", "v_w1") & _slip("u_w2", "v_w2"), _slip("u_w1", "v_w2") & _slip("u_w2", "v_w1")
+    by_word = F.when(c("u_w1") == c("v_w1"), _slip("u_w2", "v_w2")).when(c("u_w2") == c("v_w2"), _slip("u_w1", "v_w1")).otherwise(straight | crossed)
+    # where all words are words in their own right, whatever they are compared with, none is a slip
+    few = F.least("u_least", "v_least")
+    slips = (few < SEEN) | (few * RARER < F.greatest("u_most", "v_most")) | (c("u_w2") == "") | (c("v_w2") == "")
     # one word for two, or a third word: compared without spaces, in either order of the words
     bare = lambda x, y: F.replace(F.concat(x, y), F.lit(" "), F.lit(""))
     near = lambda x, y: F.levenshtein(x, y, 5) >= 0
     whole = near(bare("u_w1", "u_w2"), bare("v_w1", "v_w2")) | near(bare("u_w2", "u_w1"), bare("v_w1", "v_w2")) | near(bare("u_w1", "u_w2"), bare("v_w2", "v_w1"))
     more_words = c("u_w1").contains(" ") | c("v_w1").contains(" ")  # of three words or more, two may be the name
     alike = F.when((c("u_w2") != "") & (c("v_w2") != ""), by_word).otherwise(whole | more_words)
-    shared = side("u").join(side("v"), "g").where((c("u_id") < c("v_id")) & alike)
+    shared = side("u").join(side("v"), "g").where((c("u_id") < c("v_id")) & slips & alike)
     name = lambda x: F.trim(F.concat_ws(" ", f"{x}_w1", f"{x}_w2")).alias(x)
     return shared.select(name("u"), name("v"), "u_id", "v_id", "u_counts", "v_counts").distinct()
 
@@ -199,6 +210,7 @@ def similar_spellings(keys: DataFrame, weights: tuple[dict[str, float], float])
             measure.known.clear()
             yield pd.Series(out, dtype="float64")
 
+    score = score.asNondeterministic()  # else the filter on it goes before distinct, and repeated pairs are scored
     return pairs.select("u_id", "v_id", score("u", "v", "u_counts", "v_counts").alias("cosine")).where("cosine > 0")
 
 
@@ -261,8 +273,13 @@ def average_linkage(n: int, sims: Sequence[Sequence[float]], cut: float) -> list
 
 
 def cluster_names(names: Sequence[str], counts: dict[str, int], measure: NameCosine) -> list[int]:
-    """Cluster number of each name by average linkage of cosines; two names that the exact check tells apart have similarity 0."""
-    sims = [array("d", [measure.names(names[i], names[j]) if same_words(names[i], names[j], counts) else 0.0 for j in range(i)]) for i in range(len(names))]
+    """Cluster number of each name by average linkage of cosines. Two names that the exact check tells apart have similarity 0; those that are apart never share a cluster, however alike their slips are."""
+    never = -float(len(names) ** 2)  # outweighs all similarities between two clusters
+
+    def similarity(a: str, b: str) -> float:
+        return measure.names(a, b) if same_words(a, b, counts) else never if apart(a, b, counts) else 0.0
+
+    sims = [array("d", [similarity(names[i], names[j]) for j in range(i)]) for i in range(len(names))]
     return average_linkage(len(names), sims, LINKAGE)
 
 
