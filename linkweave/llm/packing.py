@@ -17,7 +17,8 @@ BLOCK = 20_000
 #: Containers of a block with more unused space than this share are opened again and their items packed together with other blocks' leftovers.
 LOOSE = 1 / 64
 
-_SCHEMA = "doc_id long, piece_no int, start_token long, n_tokens int, container_id long"
+_SCHEMA = "piece_id long, doc_id long, piece_no int, start_token long, n_tokens int, container_id long"
+_OUT = ("doc_id", "piece_no", "start_token", "n_tokens", "container_id")
 
 
 def fullest(lengths: list[int], available: Counter, capacity: int) -> list[int]:
@@ -87,11 +88,11 @@ def to_pieces(sizes: DataFrame, capacity: int = CAPACITY) -> DataFrame:
 def _pack_block(df: pd.DataFrame, capacity: int, salt: int) -> pd.DataFrame:
     df = df.sort_values(["n_tokens", "doc_id", "piece_no"]).reset_index(drop=True)
     ids = [0] * len(df)
-    block = int(df["_b"].iloc[0])
-    for k, members in enumerate(pack(df["n_tokens"].tolist(), capacity)):
+    for members in pack(df["n_tokens"].tolist(), capacity):
+        own = 4 * min(int(df["piece_id"].iloc[i]) for i in members) + salt  # of a piece in it, so no other container has it
         for i in members:
-            ids[i] = (salt << 60) | (block << 32) | k
-    return df.assign(container_id=ids)[["doc_id", "piece_no", "start_token", "n_tokens", "container_id"]]
+            ids[i] = own
+    return df.assign(container_id=ids)[["piece_id", *_OUT]]
 
 
 def fill_containers(sizes: DataFrame, capacity: int = CAPACITY, seed: int = 42) -> DataFrame:
@@ -99,17 +100,17 @@ def fill_containers(sizes: DataFrame, capacity: int = CAPACITY, seed: int = 42)
 
     Blocks of about BLOCK pieces, by hash, are packed in parallel. Containers that a block could not fill (mostly its last) are opened and packed again together,
     in blocks of their own, so few loose containers are left however many blocks there are. Full pieces of long documents are containers as they are.
-    sizes: doc_id (unique), n_tokens. Null and zero sizes take no space. An empty table gives an empty one.
+    A container's id is that of a piece in it, of which every row of the written table has its own, so ids never meet, whatever the documents' ids are.
+    sizes: doc_id, n_tokens. Null and zero sizes take no space; rows with a null or repeated doc_id are documents of their own. An empty table gives an empty one.
     """
     scratch = Scratch(sizes.sparkSession, "packing")
-    pieces = scratch.write(to_pieces(sizes, capacity))
-    full = pieces.where(F.col("n_tokens") == capacity)
-    full = full.withColumn("container_id", F.lit(3 << 60).bitwiseOR(F.xxhash64("doc_id", "piece_no").bitwiseAND(F.lit((1 << 60) - 1))))
+    pieces = scratch.write(to_pieces(sizes, capacity).withColumn("piece_id", F.monotonically_increasing_id()))
+    full = pieces.where(F.col("n_tokens") == capacity).withColumn("container_id", F.col("piece_id") * 4 + 2)
     rest = pieces.where(F.col("n_tokens") < capacity)
 
     def packed(df: DataFrame, n: int, salt: int) -> DataFrame:
         blocks = max(1, -(-n // BLOCK))
-        keyed = df.withColumn("_b", F.pmod(F.xxhash64("doc_id", "piece_no", F.lit(seed + salt)), F.lit(blocks)))
+        keyed = df.withColumn("_b", F.pmod(F.xxhash64("piece_id", F.lit(seed + salt)), F.lit(blocks)))
         return keyed.groupBy("_b").applyInPandas(lambda x: _pack_block(x, capacity, salt), _SCHEMA)
 
     first = scratch.write(packed(rest, rest.count(), 0))
@@ -117,8 +118,8 @@ def fill_containers(sizes: DataFrame, capacity: int = CAPACITY, seed: int = 42)
     loose = fill.where(F.col("used") < int(capacity * (1 - LOOSE))).select("container_id")
     opened = scratch.write(first.join(loose, "container_id", "left_semi").drop("container_id"))
     again = packed(opened, opened.count(), 1)
-    kept = first.join(loose, "container_id", "left_anti").select(*again.columns)
-    return full.select(*again.columns).unionByName(kept).unionByName(again)
+    kept = first.join(loose, "container_id", "left_anti")
+    return full.select(*_OUT).unionByName(kept.select(*_OUT)).unionByName(again.select(*_OUT))
 
 
 def packing_report(packed: DataFrame, capacity: int = CAPACITY) -> DataFrame:
@@ -128,3 +129,18 @@ def packing_report(packed: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     out = per.agg(F.coalesce(F.sum("pieces"), F.lit(0)).alias("pieces"), F.count(F.lit(1)).alias("containers"), F.coalesce(F.sum("used"), F.lit(0)).alias("tokens"), F.max("used").alias("fullest"))
     share = F.try_divide(F.col("tokens").cast("double"), F.col("containers") * F.lit(float(capacity)))
     return docs.join(F.broadcast(out), F.lit(True)).withColumn("fill", share)
+
+
+def packing_faults(sizes: DataFrame, capacity: int = CAPACITY) -> DataFrame:
+    """One row that checks a packing against its sizes: documents, and how many of them are lost, changed in length, or divided though they fit; and containers above capacity. doc_id must be unique."""
+    scratch = Scratch(sizes.sparkSession, "faults")
+    packed = scratch.write(fill_containers(sizes, capacity))
+    whole = packed.groupBy("doc_id").agg(F.sum("n_tokens").alias("packed"), F.count(F.lit(1)).alias("pieces"))
+    n = F.coalesce("n_tokens", F.lit(0))
+    each = sizes.select("doc_id", n.alias("n")).join(whole, "doc_id", "left")
+    faults = each.agg(
+        F.count(F.lit(1)).alias("documents"), F.count_if(F.col("pieces").isNull()).alias("lost"), F.count_if(F.col("packed") != F.col("n")).alias("changed"),
+        F.count_if((F.col("pieces") > 1) & (F.col("n") <= capacity)).alias("divided"),
+    )
+    over = packed.groupBy("container_id").agg(F.sum("n_tokens").alias("used")).agg(F.count_if(F.col("used") > capacity).alias("overfull"))
+    return faults.join(F.broadcast(over), F.lit(True))
