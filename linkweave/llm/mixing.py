@@ -5,10 +5,8 @@ from __future__ import annotations
 import math
 
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
-from pyspark.sql.functions import pandas_udf
 
 #: Share of a source's weight that moves over the course: sources with repeats come later, others earlier.
 DRIFT = 0.3
@@ -39,12 +37,10 @@ def mixture_plan(totals: DataFrame, weights: DataFrame, budget: int | None = Non
     return t
 
 
-def _position(u: float, drift: float) -> float:
-    """Inverse of the cumulative demand D(x) = x + drift x (x - 1), the integral of the weight schedule 1 + drift (2 x - 1) from 0 to x."""
-    if abs(drift) < 1e-12:
-        return u
+def position(u: Column, drift: Column) -> Column:
+    """Inverse of the cumulative demand D(x) = x + drift x (x - 1), the integral of the weight schedule 1 + drift (2 x - 1) from 0 to x, for u in [0, 1]; drift may be 0."""
     b = 1.0 - drift
-    return (-b + math.sqrt(b * b + 4.0 * drift * u)) / (2.0 * drift)
+    return 2.0 * u / (b + F.sqrt(b * b + 4.0 * drift * u))
 
 
 def mix_sources(sizes: DataFrame, weights: DataFrame, budget: int | None = None, drift: float = DRIFT, seed: int = 42) -> tuple[DataFrame, pd.DataFrame]:
@@ -57,13 +53,12 @@ def mix_sources(sizes: DataFrame, weights: DataFrame, budget: int | None = None,
     spark = sizes.sparkSession
     rows = sizes.where("n_tokens > 0 AND doc_id IS NOT NULL AND source IS NOT NULL")
     plan = mixture_plan(rows.groupBy("source").agg(F.sum("n_tokens").alias("tokens")), weights, budget)
-    later = {s: drift if r > 1 else -drift for s, r in zip(plan["source"], plan["max_repeats"])}
     table = spark.createDataFrame(
-        [(s, int(n), int(u), int(min(r, math.ceil(p)))) for s, n, u, r, p in zip(plan["source"], plan["tokens"], plan["use_tokens"], plan["max_repeats"], plan["passes"])],
-        "source string, tokens long, use_tokens long, copies int",
+        [(s, int(n), int(u), int(min(r, math.ceil(p))), drift if r > 1 else -drift) for s, n, u, r, p in zip(plan["source"], plan["tokens"], plan["use_tokens"], plan["max_repeats"], plan["passes"])],
+        "source string, tokens long, use_tokens long, copies int, drift double",
     )
     used = rows.join(F.broadcast(table.where("copies > 0")), "source")  # one row per weighted source
-    copies = used.select("source", "doc_id", "n_tokens", "tokens", "use_tokens", F.explode(F.sequence(F.lit(1), F.col("copies"))).alias("repeat_no"))
+    copies = used.select("source", "doc_id", "n_tokens", "tokens", "use_tokens", "drift", F.explode(F.sequence(F.lit(1), F.col("copies"))).alias("repeat_no"))
     h = F.xxhash64("doc_id", "repeat_no", F.lit(seed))
     keyed = copies.withColumn("h", h).withColumn("part", F.floor((F.col("h") / F.lit(2.0**63) + 1) * (PARTS // 2)))
     part_sums = keyed.groupBy("source", "repeat_no", "part").agg(F.sum("n_tokens").alias("s"))
@@ -74,11 +69,8 @@ def mix_sources(sizes: DataFrame, weights: DataFrame, budget: int | None = None,
     end = (F.col("repeat_no") - 1).cast("long") * F.col("tokens") + F.col("before") + F.col("run")
     placed = run.withColumn("middle", end - F.col("n_tokens") / 2).where(F.col("middle") <= F.col("use_tokens"))
 
-    @pandas_udf(T.DoubleType())
-    def position(source: pd.Series, u: pd.Series) -> pd.Series:
-        return pd.Series([_position(min(max(x, 0.0), 1.0), later[s]) for s, x in zip(source, u)], dtype="float64")
-
-    mixed = placed.select(position("source", F.col("middle") / F.col("use_tokens")).alias("position"), "source", "doc_id", "repeat_no", "n_tokens")
+    u = F.greatest(F.least(F.col("middle") / F.col("use_tokens"), F.lit(1.0)), F.lit(0.0))
+    mixed = placed.select(position(u, F.col("drift")).alias("position"), "source", "doc_id", "repeat_no", "n_tokens")
     return mixed.repartitionByRange("position").sortWithinPartitions("position", "source", "doc_id", "repeat_no"), plan
 
 
