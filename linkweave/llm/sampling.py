@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from linkweave.functions.text import strip
 from linkweave.operators.packed import id_plain_form
+from linkweave.plans.lineage import Scratch
 
 UNKNOWN = "__unknown__"
 #: Records per task of the pivotal method, on average.
@@ -98,9 +99,10 @@ def draw_sample(countries: DataFrame, report: DataFrame, seed: int = 42) -> Data
 
     report: of availability; one row per target category, so it is small by contract. Each category gets min(available, needed) records.
     The pivotal method runs in blocks of bounded size; each leaves at most one undecided record, and those are decided in further
-    rounds of blocks until one block per category is left. Categories that are no target are not drawn.
+    rounds of blocks until one block per category is left; each round is written. Categories that are no target are not drawn.
     """
     spark = countries.sparkSession
+    scratch = Scratch(spark, "sample")
     cats = report.toPandas()
     p = calibrate(cats["available"].to_numpy(), np.minimum(cats["needed"], cats["available"]).to_numpy())
     blocks = np.maximum(1, np.ceil(cats["available"] / BLOCK)).astype(int)
@@ -121,7 +123,7 @@ def draw_sample(countries: DataFrame, report: DataFrame, seed: int = 42) -> Data
             out[order] = _pivotal(out[order], np.random.default_rng(digest + 1))
             return df.assign(p=out)
 
-        decided = rows.withColumn("_b", block).groupBy("country", "_b").applyInPandas(decide, schema)
+        decided = scratch.write(rows.withColumn("_b", block).groupBy("country", "_b").applyInPandas(decide, schema))
         if largest == 1:  # what is left undecided is a rounding error of a whole total
             last = decided.where("p >= 0.5")
             out = last if drawn is None else drawn.unionByName(last)
