@@ -26,7 +26,7 @@ def _read(spark: SparkSession, d: str, *names: str) -> list[DataFrame]:
 
 @query
 def p1_found(spark, d):
-    return splits.shared_keys(splits.key_groups(*_read(spark, d, "train_matches", "train_pairs")))
+    return splits.shared_keys(splits.split_keys(*_read(spark, d, "train_matches", "train_pairs")))
 
 
 @query
@@ -45,28 +45,29 @@ def p3_found(spark, d):
     return components.linked_records(*_read(spark, d, "train_pairs"), "source1_entity_id", "candidate_entity_id")
 
 
-def _countries(spark, d):
-    return sampling.record_countries(*_read(spark, d, "train_matches", "records", "country_alias"))
-
-
-@query
-def p4_found(spark, d):
-    return sampling.availability(_countries(spark, d), *_read(spark, d, "country_targets")).where("gap > 0").select("country")
+def _availability(spark, d):
+    """Countries of the records and what is available of each, written: the draw and its report read them several times."""
+    scratch = Scratch(spark, "targets")
+    countries = scratch.write(sampling.record_countries(*_read(spark, d, "train_matches", "records", "country_alias")))
+    return countries, scratch.write(sampling.availability(countries, *_read(spark, d, "country_targets")))
 
 
 @query
 def p4_sample(spark, d):
-    countries = _countries(spark, d)
-    return sampling.draw_sample(countries, sampling.availability(countries, *_read(spark, d, "country_targets")))
+    return sampling.draw_sample(*_availability(spark, d))
 
 
 @query
 def p4_report(spark, d):
-    countries = _countries(spark, d)
-    report = sampling.availability(countries, *_read(spark, d, "country_targets"))
+    countries, report = _availability(spark, d)
     return sampling.sample_report(report, sampling.draw_sample(countries, report))
 
 
+@query
+def p4_found(spark, d):
+    return p4_report(spark, d).where("drawn < needed").select("country")
+
+
 @query
 def p5_found(spark, d):
     return name_links.same_name_pairs(*_read(spark, d, "records", "pool"))
@@ -110,6 +111,11 @@ def p8_report(spark, d):
     return packing.packing_report(packing.fill_containers(_sizes(spark, d)))
 
 
+@query
+def p8_invariants(spark, d):
+    return packing.packing_faults(_sizes(spark, d))
+
+
 @query
 def p9_mixture(spark, d):
     return mixing.mix_sources(_sizes(spark, d), *_read(spark, d, "source_weights"))[0]
@@ -146,6 +152,11 @@ ORACLE["p3_found"] = f"""WITH RECURSIVE e AS (SELECT DISTINCT {_ID.format('sourc
  n AS (SELECT a, b FROM e UNION SELECT b, a FROM e),
  r(id, g) AS (SELECT a, a FROM n UNION SELECT n.b, r.g FROM r JOIN n ON r.id = n.a WHERE r.g < n.b)
  SELECT id AS record_id, min(g) AS group_id FROM r GROUP BY 1"""
-ORACLE["p4_found"] = f"""WITH ids AS (SELECT DISTINCT {_ID.format('source1_entity_id')} AS id FROM train_matches), f AS (SELECT entity_id, country_norm FROM records QUALIFY row_number() OVER (PARTITION BY entity_id ORDER BY row_ordinal) = 1),
- c AS (SELECT coalesce(a.country, '__unknown__') AS country FROM ids LEFT JOIN f ON ids.id = f.entity_id LEFT JOIN country_alias a ON lower(trim(f.country_norm)) = a.alias_name WHERE ids.id IS NOT NULL)
- SELECT t.country FROM country_targets t WHERE (SELECT count(*) FROM c WHERE c.country = t.country) < greatest(t.min_rows, ceil(t.target_pct * ((SELECT count(*) FROM c) // 5) / 100.0))"""
+_P4 = f"""WITH ids AS (SELECT DISTINCT {_ID.format('source1_entity_id')} AS id FROM train_matches), f AS (SELECT entity_id, country_norm FROM records QUALIFY row_number() OVER (PARTITION BY entity_id ORDER BY row_ordinal) = 1),
+ c AS (SELECT coalesce(a.country, '__unknown__') AS country FROM ids LEFT JOIN f ON ids.id = f.entity_id LEFT JOIN country_alias a ON lower(trim(f.country_norm)) = a.alias_name WHERE ids.id IS NOT NULL),
+ t AS (SELECT t.country, (SELECT count(*) FROM c WHERE c.country = t.country) AS available, (SELECT count(*) FROM c) // 5 AS sample_size, t.min_rows, t.target_pct FROM country_targets t),
+ n AS (SELECT country, available, sample_size, greatest(min_rows, ceil(target_pct * sample_size / 100.0))::BIGINT AS needed FROM t)"""
+ORACLE["p4_found"] = f"{_P4} SELECT country FROM n WHERE available < needed"
+ORACLE["p4_report"] = f"""{_P4} SELECT country, available, sample_size, needed, greatest(needed - available, 0) AS gap, least(needed, available) AS drawn,
+ least(needed, available)::DOUBLE / sum(least(needed, available)) OVER () AS share FROM n"""
+ORACLE["p8_invariants"] = "SELECT count(*) AS documents, 0::BIGINT AS lost, 0::BIGINT AS changed, 0::BIGINT AS divided, 0::BIGINT AS overfull FROM documents"

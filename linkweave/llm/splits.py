@@ -40,10 +40,11 @@ def key_groups(matches: DataFrame, pairs: DataFrame) -> DataFrame:
     return scratch.write(joined.select("written", "plain", F.coalesce("_g", "plain", "written").alias("group_id")))
 
 
-def shared_keys(groups: DataFrame) -> DataFrame:
-    """(source1_entity_id, group_id) of the written values that must share their split with another written value."""
-    several = groups.where("plain IS NOT NULL").groupBy("group_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    return groups.join(several.select("group_id"), "group_id", "left_semi").select(F.col("written").alias("source1_entity_id"), "group_id")
+def shared_keys(keys: DataFrame) -> DataFrame:
+    """(source1_entity_id, group_id) of the written values that share their split with another written value; keys: of split_keys, whose groups are what the search placed."""
+    keys = Scratch(keys.sparkSession, "placed").write(keys)
+    several = keys.groupBy("group_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    return keys.join(several.select("group_id"), "group_id", "left_semi").select("source1_entity_id", "group_id")
 
 
 def component_sizes(groups: DataFrame, pairs: DataFrame) -> DataFrame:

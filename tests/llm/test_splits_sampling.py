@@ -11,7 +11,7 @@ def test_groups(spark):
     p = spark.createDataFrame([("S1-4", "S2-1", 1, "x"), ("S1-3", None, None, "x"), (None, None, 1, "x")], P)
     g = {r["written"]: r["group_id"] for r in splits.key_groups(m, p).collect()}
     assert g == {"S1-1": "S1-1", "s1_2": "S1-1", "S1-3": "S1-3", "S1-4.0": "S1-4", "S1-4": "S1-4", "odd": "odd"}
-    assert {tuple(r) for r in splits.shared_keys(splits.key_groups(m, p)).collect()} == {("S1-1", "S1-1"), ("s1_2", "S1-1"), ("S1-4.0", "S1-4"), ("S1-4", "S1-4")}
+    assert {tuple(r) for r in splits.shared_keys(splits.split_keys(m, p)).collect()} == {("S1-1", "S1-1"), ("s1_2", "S1-1"), ("S1-4.0", "S1-4"), ("S1-4", "S1-4")}
     assert splits.key_groups(m.limit(0), p.limit(0)).count() == 0
 
 

@@ -3,6 +3,7 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from linkweave.llm import abuse, mixing, packing, tokens
 
@@ -137,6 +138,16 @@ def test_containers(spark):
     assert packing.fill_containers(df.limit(0)).count() == 0
 
 
+def test_container_ids_never_meet(spark):
+    df = spark.createDataFrame([(None, 5000), (None, 6000), (7, 4096), (7, 4096), (8, 10)], "doc_id long, n_tokens long")
+    out = packing.fill_containers(df).toPandas()
+    assert out.groupby("container_id")["n_tokens"].sum().max() <= 2048 and out["n_tokens"].sum() == 19202
+    report = packing.packing_report(packing.fill_containers(df)).first()
+    assert report["fullest"] <= 2048 and report["fill"] <= 1
+    faults = packing.packing_faults(df.where("doc_id = 8")).first()
+    assert tuple(faults) == (1, 0, 0, 0, 0)
+
+
 def test_mixture(spark):
     rng = random.Random(5)
     data = [(i, "big", rng.randrange(50, 150)) for i in range(3000)] + [(10_000 + i, "small", rng.randrange(50, 150)) for i in range(100)] + [(20_000 + i, "tiny", 100) for i in range(3)]
@@ -155,10 +166,10 @@ def test_mixture(spark):
     assert mixing.mix_sources(sizes.limit(0), weights)[0].count() == 0
 
 
-def test_position_inverts_demand():
-    for drift in (-0.3, 0.0, 0.3):
-        for x in (0.0, 0.2, 0.7, 1.0):
-            assert abs(mixing._position(x + drift * x * (x - 1), drift) - x) < 1e-9
+def test_position_inverts_demand(spark):
+    data = [(x + d * x * (x - 1), d, x) for d in (-0.3, 0.0, 0.3) for x in (0.0, 0.2, 0.7, 1.0)]
+    df = spark.createDataFrame(data, "u double, drift double, x double")
+    assert all(abs(r["p"] - r["x"]) < 1e-9 for r in df.withColumn("p", mixing.position(F.col("u"), F.col("drift"))).collect())
 
 
 @pytest.mark.skipif(not os.path.isdir(tokens.FOLDER), reason="no vocabulary files")
