@@ -32,7 +32,7 @@ def test_harmless(text):
     assert abuse.find_terms(text) == []
 
 
-@pytest.mark.parametrize("text, kind", [("You spineless cowards", "insult"), ("filthy creatures", "insult"), ("stinking swines", "insult"), ("all over her thighs", "sexual"), ("all over his face", "sexual"), ("all over her breasts", "sexual")])
+@pytest.mark.parametrize("text, kind", [("You spineless cowards", "insult"), ("those immigrants should be gassed", "threat"), ("I will stab you in your sleep", "threat"), ("tu es une ordure", "insult"), ("filthy creatures", "insult"), ("stinking swines", "insult"), ("all over her thighs", "sexual"), ("all over his face", "sexual"), ("all over her breasts", "sexual")])
 def test_phrases_need_no_other_word(text, kind):
     assert f"k:{kind}" in abuse.find_terms(text)
 
@@ -74,7 +74,9 @@ def test_ordinal_regression_recovers_order():
     x = (rng.random((3000, 4)) < 0.3).astype(float)
     z = x @ np.array([3.0, 1.5, -2.0, 0.0]) + rng.logistic(size=3000)
     y = (z > 1).astype(int) + (z > 3).astype(int)
-    w, th = abuse.fit_ordinal(x, y, np.ones(3000), np.zeros(4))
+    rows = abuse.Rows([np.flatnonzero(r) for r in x], 4)
+    assert np.allclose(rows.times(np.arange(4.0)), x @ np.arange(4.0)) and np.allclose(rows.transposed_times(y), x.T @ y)
+    w, th = abuse.fit_ordinal(rows, y, np.ones(3000), np.zeros(4), np.ones(4))
     assert abs(w[0] - 3) < 0.4 and abs(w[1] - 1.5) < 0.4 and abs(w[2] + 2) < 0.5 and abs(w[3]) < 0.3 and abs(th[0] - 1) < 0.3 and abs(th[1] - 3) < 0.4
 
 
@@ -92,6 +94,42 @@ def test_scores_and_rates(spark):
     assert abuse.score_documents(d.limit(0), labels.limit(0)).count() == 0
 
 
+def labelled_texts(n, seed):
+    """Articles, a third of which hold one of a few insults in words that no list has; the rest may hold one of the words elsewhere."""
+    rng = random.Random(seed)
+    words = ["".join(rng.choice("bdfgklmnprstvz") + rng.choice("aeiou") for _ in range(3)) for _ in range(300)]
+    insults = ["you zarkling grobnar", "what a pluvish zarkling", "grobnar filth of a plovnik", "zarkling plovnik"]
+    out = []
+    for i in range(n):
+        body = [rng.choice(words) for _ in range(150)]
+        bad = i % 3 == 0
+        if bad:
+            body[rng.randrange(150)] = rng.choice(insults)
+        elif i % 3 == 1:
+            body[rng.randrange(150)] = "filth"
+        out.append((i, " ".join(body), bad))
+    return out
+
+
+def test_labels_teach_words_that_no_list_has(spark):
+    data = labelled_texts(1500, 9)
+    assert not any(abuse.find_terms(t) for _, t, _ in data)
+    rng = random.Random(10)
+    labels = spark.createDataFrame([(i, f"r{k}", int(bad != (rng.random() < 0.05))) for i, _, bad in data[:900] for k in range(2)], "doc_id long, rater string, abusive int")
+    scores = {r["doc_id"]: r for r in abuse.score_documents(docs(spark, [(i, t, "a") for i, t, _ in data]), labels).collect()}
+    held_out = data[900:]
+    found = {i for i, _, _ in held_out if scores[i]["is_case"]}
+    true = {i for i, _, bad in held_out if bad}
+    assert len(found & true) >= 0.9 * len(true) and len(found & true) >= 0.95 * len(found)
+
+
+def test_buckets_are_the_same_everywhere():
+    a, b = abuse.text_features("One two, two one!", abuse.WordBuckets())[1], abuse.text_features("one TWO two one", abuse.WordBuckets())[1]
+    assert a.tolist() == b.tolist() and len(a) == 5  # two words, three pairs
+    assert abuse.text_features(None, abuse.WordBuckets())[1].tolist() == abuse.text_features("", abuse.WordBuckets())[1].tolist() == []
+    assert abuse.text_features("42 + 1", abuse.WordBuckets())[1].tolist() == []
+
+
 def best_sum(lengths, cap):
     sums = {0}
     for n in lengths:
