@@ -5,6 +5,7 @@ from __future__ import annotations
 import math
 from array import array
 from collections.abc import Iterator, Sequence
+from functools import lru_cache
 from itertools import permutations
 
 import pandas as pd
@@ -47,6 +48,10 @@ def grams(word: str) -> list[str]:
     return list(dict.fromkeys(w[i : i + 3] for i in range(len(w) - 2)))
 
 
+#: Words and pairs of words that a task keeps at once.
+KEPT = 200_000
+
+
 class NameCosine:
     """Cosine of names by weighted character n-grams.
 
@@ -63,6 +68,8 @@ class NameCosine:
     def vector(self, word: str) -> dict[str, float]:
         v = self.vectors.get(word)
         if v is None:
+            if len(self.vectors) > KEPT:
+                self.vectors.clear()
             v = {g: self.weights.get(g, self.rare) for g in grams(word)}
             norm = math.sqrt(sum(x * x for x in v.values()))
             v = self.vectors[word] = {g: x / norm for g, x in v.items()}
@@ -73,13 +80,19 @@ class NameCosine:
             return 1.0
         c = self.known.get((a, b))
         if c is None:
+            if len(self.known) > KEPT:
+                self.known.clear()
             x, y = self.vector(a), self.vector(b)
-            c = self.known[a, b] = sum([v * y[g] for g, v in x.items() if g in y])
+            c = self.known[a, b] = sum([x[g] * y[g] for g in x.keys() & y.keys()])
         return c
 
     def names(self, u: str, v: str) -> float:
         a, b = u.split(" "), v.split(" ")
         if len(a) == len(b) == 2:
+            if a[0] == b[0]:
+                return math.sqrt(self.words(a[1], b[1]))
+            if a[1] == b[1]:
+                return math.sqrt(self.words(a[0], b[0]))
             return math.sqrt(max(self.words(a[0], b[0]) * self.words(a[1], b[1]), self.words(a[0], b[1]) * self.words(a[1], b[0])))
         orders = lambda x: permutations(x) if len(x) <= 4 else (tuple(x),)
         if len(a) == len(b):
@@ -87,10 +100,29 @@ class NameCosine:
         return max(self.words("".join(p), "".join(q)) for p in orders(a) for q in orders(b))
 
 
-def near_words(a: str, b: str) -> bool:
-    """Whether one word can be a misspelling of the other: the longer they are, the more letters may be missing, extra or other."""
+def allowed(a: str, b: str) -> int:
+    """Letters that may be missing or extra in one of two words, both counted: the longer they are, the more."""
     n = max(len(a), len(b))
-    return len(a) + len(b) - 2 * lcs_length(a, b) <= (0 if n <= 3 else 2 if n <= 6 else 4 if n <= 11 else 5)
+    return 0 if n <= 3 else 2 if n <= 6 else 4 if n <= 11 else 5
+
+
+def far_words(a: str, b: str) -> bool:
+    """A cheap condition that near_words excludes: too many letters occur in one word only."""
+    return len(set(a) ^ set(b)) > allowed(a, b)
+
+
+@lru_cache(maxsize=KEPT)
+def near_words(a: str, b: str) -> bool:
+    """Whether one word can be a misspelling of the other."""
+    return not far_words(a, b) and len(a) + len(b) - 2 * lcs_length(a, b) <= allowed(a, b)
+
+
+def far_names(u: str, v: str) -> bool:
+    """A cheap condition that the exact check excludes, of names of two words each."""
+    a, b = u.split(" "), v.split(" ")
+    if len(a) != 2 or len(b) != 2:
+        return False
+    return (far_words(a[0], b[0]) or far_words(a[1], b[1])) and (far_words(a[0], b[1]) or far_words(a[1], b[0]))
 
 
 def two_words(x: str, y: str, count: dict[str, int]) -> bool:
@@ -166,20 +198,21 @@ def _slip(x: str, y: str) -> Column:
 
 
 def candidate_spellings(keys: DataFrame) -> DataFrame:
-    """(u, v, u_id, v_id, u_counts, v_counts): each two spellings that share a join key and are near enough for the exact check, once.
+    """(u, v, u_id, v_id, u_c1, u_c2, v_c1, v_c2): each two spellings that share a join key and are near enough for the exact check, once. c1, c2: counts of the words in order; of three words or more the least and the highest.
 
     keys: of with_word_counts, written. All spellings meet all others; the distances in the join only leave out what the exact check can't accept. Both sides are one exchange.
     """
     two = F.size("words") == 2
     first, second = F.when(two, F.col("words")[0]).otherwise(F.col("family")), F.when(two, F.col("words")[1]).otherwise("")
-    index = keys.select(F.explode(_join_keys()).alias("g"), "id", first.alias("w1"), second.alias("w2"), F.array_join("counts", " ").alias("counts"), F.array_min("counts").alias("least"), F.array_max("counts").alias("most"))
+    c1, c2 = F.when(two, F.col("counts")[0]).otherwise(F.array_min("counts")), F.when(two, F.col("counts")[1]).otherwise(F.array_max("counts"))
+    index = keys.select(F.explode(_join_keys()).alias("g"), "id", first.alias("w1"), second.alias("w2"), c1.cast("int").alias("c1"), c2.cast("int").alias("c2"))
     side = lambda x: index.select("g", *(F.col(c).alias(f"{x}_{c}") for c in index.columns if c != "g"))
     c = F.col
     straight, crossed = _slip("u_w1", "v_w1") & _slip("u_w2", "v_w2"), _slip("u_w1", "v_w2") & _slip("u_w2", "v_w1")
     by_word = F.when(c("u_w1") == c("v_w1"), _slip("u_w2", "v_w2")).when(c("u_w2") == c("v_w2"), _slip("u_w1", "v_w1")).otherwise(straight | crossed)
     # where all words are words in their own right, whatever they are compared with, none is a slip
-    few = F.least("u_least", "v_least")
-    slips = (few < SEEN) | (few * RARER < F.greatest("u_most", "v_most")) | (c("u_w2") == "") | (c("v_w2") == "")
+    few, many = F.least("u_c1", "u_c2", "v_c1", "v_c2"), F.greatest("u_c1", "u_c2", "v_c1", "v_c2")
+    slips = (few < SEEN) | (few * RARER < many) | (c("u_w2") == "") | (c("v_w2") == "")
     # one word for two, or a third word: compared without spaces, in either order of the words
     bare = lambda x, y: F.replace(F.concat(x, y), F.lit(" "), F.lit(""))
     near = lambda x, y: F.levenshtein(x, y, 5) >= 0
@@ -188,7 +221,12 @@ def candidate_spellings(keys: DataFrame) -> DataFrame:
     alike = F.when((c("u_w2") != "") & (c("v_w2") != ""), by_word).otherwise(whole | more_words)
     shared = side("u").join(side("v"), "g").where((c("u_id") < c("v_id")) & slips & alike)
     name = lambda x: F.trim(F.concat_ws(" ", f"{x}_w1", f"{x}_w2")).alias(x)
-    return shared.select(name("u"), name("v"), "u_id", "v_id", "u_counts", "v_counts").distinct()
+    return shared.select(name("u"), name("v"), *(f"{x}_{n}" for x in "uv" for n in ("id", "c1", "c2"))).distinct()
+
+
+def _counts(name: str, c1: int, c2: int) -> dict[str, int]:
+    words = name.split(" ")
+    return {words[0]: c1, words[1]: c2} if len(words) == 2 else dict.fromkeys(words, c1)
 
 
 def similar_spellings(keys: DataFrame, weights: tuple[dict[str, float], float]) -> DataFrame:
@@ -197,21 +235,17 @@ def similar_spellings(keys: DataFrame, weights: tuple[dict[str, float], float])
     table = keys.sparkSession.sparkContext.broadcast(weights)  # fewer than 28 ** 3 numbers
 
     @pandas_udf(T.DoubleType())
-    def score(it: Iterator[tuple[pd.Series, pd.Series, pd.Series, pd.Series]]) -> Iterator[pd.Series]:
+    def score(it: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.Series]:
         measure = NameCosine(*table.value)
         for columns in it:
             out = []
-            for a, b, m, n in zip(*columns):
-                c = measure.names(a, b)
-                if c >= THRESHOLD:
-                    count = dict(zip(a.split(" "), map(int, m.split(" ")))) | dict(zip(b.split(" "), map(int, n.split(" "))))
-                    c = c if same_words(a, b, count) else 0.0
-                out.append(c if c >= THRESHOLD else 0.0)
-            measure.known.clear()
+            for a, b, a1, a2, b1, b2 in zip(*columns):
+                c = 0.0 if far_names(a, b) else measure.names(a, b)
+                out.append(c if c >= THRESHOLD and same_words(a, b, _counts(a, a1, a2) | _counts(b, b1, b2)) else 0.0)
             yield pd.Series(out, dtype="float64")
 
     score = score.asNondeterministic()  # else the filter on it goes before distinct, and repeated pairs are scored
-    return pairs.select("u_id", "v_id", score("u", "v", "u_counts", "v_counts").alias("cosine")).where("cosine > 0")
+    return pairs.select("u_id", "v_id", score("u", "v", "u_c1", "u_c2", "v_c1", "v_c2").alias("cosine")).where("cosine > 0")
 
 
 def top_links(links: DataFrame, n: int = TOP_N) -> DataFrame:
@@ -311,7 +345,6 @@ def spelling_groups(keys: DataFrame, scratch: Scratch) -> DataFrame:
                 count = {w: int(c) for f, cs in zip(names, ns) for w, c in zip(f.split(" "), cs)}
                 first: dict[int, str] = {}
                 out.append([first.setdefault(k, f) for f, k in zip(names, cluster_names(names, count, measure))])
-            measure.known.clear()
             yield pd.Series(out)
 
     labelled = scratch.write(grouped.select(F.explode(F.arrays_zip("families", roots("families", "counts").alias("roots"))).alias("x")).select(F.col("x.families").alias("family"), F.col("x.roots").alias("root")))
