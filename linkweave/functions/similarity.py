@@ -63,8 +63,34 @@ def token_set_ratio(a: str, b: str) -> float:
     return max(best, *(100.0 - 100.0 * (gap + len(rest)) / (shared + whole) for rest, whole in ((rest_a, whole_a), (rest_b, whole_b))))
 
 
-def best_score(name: str, core: str, c_name: str, c_core: str, c_alt: str) -> float:
-    """Name against name, core against core where both exist, name against the trade name where there is one."""
+#: Letters are counted in so many lanes of so many bits.
+_LANES = _WIDTH = 32
+
+
+@lru_cache(maxsize=50_000)
+def _letter_bits(text: str) -> tuple[int, int, int]:
+    """Letter counts of text, each in a lane as that many ones; the length of its distinct words joined; and 1 if no lane overflows. The ones that two texts share bound their longest common subsequence."""
+    counts = [0] * _LANES
+    for ch in text:
+        counts[ord(ch) % _LANES] += 1
+    bits = 0
+    for lane, n in enumerate(counts):
+        bits |= ((1 << n) - 1) << (lane * _WIDTH)
+    return bits, len(" ".join(_words(text))), int(max(counts) <= _WIDTH)
+
+
+def score_bound(a: str, b: str) -> float:
+    """What neither ratio nor token_set_ratio of a and b can exceed: 100 if they share a word, else by the letters that they share."""
+    if not _words(a).isdisjoint(_words(b)):
+        return 100.0
+    (x, n, fits_a), (y, m, fits_b) = _letter_bits(a), _letter_bits(b)
+    return 200.0 * (x & y).bit_count() / (n + m) if n + m and fits_a and fits_b else 100.0
+
+
+def best_score(name: str, core: str, c_name: str, c_core: str, c_alt: str, least: float = 0.0) -> float:
+    """Name against name, core against core where both exist, name against the trade name where there is one. Where it is certain to be below least, 0 is given instead."""
+    if least > 0 and score_bound(name, c_name) < least and (not c_alt or score_bound(name, c_alt) < least) and (not core or not c_core or score_bound(core, c_core) < least):
+        return 0.0
     best = token_set_ratio(name, c_name)
     if c_alt and name and best < 100.0:
         best = max(best, token_set_ratio(name, c_alt))
@@ -90,9 +116,14 @@ def token_set_ratio_udf(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series([token_set_ratio(x, y) for x, y in zip(a, b)], dtype="float64")
 
 
-@pandas_udf(T.DoubleType())
-def best_score_udf(name: pd.Series, core: pd.Series, c_name: pd.Series, c_core: pd.Series, c_alt: pd.Series) -> pd.Series:
-    return pd.Series([best_score(*x) for x in zip(name, core, c_name, c_core, c_alt)], dtype="float64")
+def best_score_udf(*columns: str, least: float = 0.0) -> Column:
+    """best_score of name, core, c_name, c_core and c_alt."""
+
+    @pandas_udf(T.DoubleType())
+    def score(name: pd.Series, core: pd.Series, c_name: pd.Series, c_core: pd.Series, c_alt: pd.Series) -> pd.Series:
+        return pd.Series([best_score(*x, least) for x in zip(name, core, c_name, c_core, c_alt)], dtype="float64")
+
+    return score(*columns)
 
 
 def pair_ratio(a: Column, b: Column) -> Column:

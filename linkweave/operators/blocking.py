@@ -13,6 +13,7 @@ from linkweave.functions.keys import address_keys_query
 from linkweave.functions.similarity import best_score_udf
 from linkweave.functions.text import clean_scalar, strip
 from linkweave.operators import pool as P
+from linkweave.plans.lineage import Scratch
 
 QUERY_COLUMNS = ("entity_id", "country_norm", "business_name_norm", "business_name_core", "business_name_alt", "business_address_norm")
 
@@ -69,14 +70,14 @@ def anchor_block(queries: DataFrame, pool: DataFrame, config: CandidateConfig) -
 
 
 def fuzzy_scores(queries: DataFrame, pool: DataFrame, config: CandidateConfig) -> DataFrame:
-    """row_id, entity_id, score of all pairs in a shared block. Equal lookups are scored once."""
+    """row_id, entity_id, score of all pairs in a shared block that score fuzzy_threshold or more. Equal lookups are scored once."""
     text = ["country", "name", "core"]
     distinct = queries.where(F.length("name") >= 3).groupBy(*text).agg(F.min("row_id").alias("row_id"))
     blocks = prefix_block(distinct, pool, config).unionByName(anchor_block(distinct, pool, config)).distinct()
     pairs = blocks.join(distinct.select("row_id", "name", "core"), "row_id").join(
         pool.select("entity_id", F.col("name").alias("c_name"), F.col("name_core").alias("c_core"), F.col("name_alt").alias("c_alt")), "entity_id"
     )
-    scored = pairs.select(F.col("row_id").alias("_first"), "entity_id", best_score_udf("name", "core", "c_name", "c_core", "c_alt").alias("score"))
+    scored = pairs.select(F.col("row_id").alias("_first"), "entity_id", best_score_udf("name", "core", "c_name", "c_core", "c_alt", least=config.fuzzy_threshold).alias("score"))
     rows = queries.where(F.length("name") >= 3).select(*text, "row_id").join(distinct.withColumnRenamed("row_id", "_first"), text)
     return rows.select("row_id", "_first").join(scored.where(F.col("score") >= config.fuzzy_threshold), "_first").select("row_id", "entity_id", "score")
 
@@ -119,8 +120,14 @@ def merge(rows: DataFrame, max_candidates: int | None) -> DataFrame:
 
 
 def generate_candidates(s1: DataFrame, pool: DataFrame, config: CandidateConfig, ordinal: str = "ordinal") -> DataFrame:
-    """(row_id, entity_id, strategy, pos, rank) of all source-1 rows. Equal rows keep their own candidates; blank ids are an error of check_queries."""
-    return merge(strategy_rows(query_rows(s1, ordinal), pool, config), config.max_candidates)
+    """(row_id, entity_id, strategy, pos, rank) of all source-1 rows. Equal rows keep their own candidates; blank ids are an error of check_queries.
+
+    Lookups and pool are cleaned once and written: every strategy reads both.
+    """
+    scratch = Scratch(s1.sparkSession, "candidates")
+    queries = scratch.write(query_rows(s1, ordinal))
+    index = scratch.write(pool.select("entity_id", "country", "name", "name_core", "name_alt", "address"))
+    return merge(strategy_rows(queries, index, config), config.max_candidates)
 
 
 def check_queries(s1: DataFrame) -> None:

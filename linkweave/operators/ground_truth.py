@@ -51,6 +51,13 @@ def class_counts(classified: DataFrame) -> DataFrame:
     return classified.groupBy("row_type", "missing_from_source1").agg(F.count(F.lit(1)).alias("n"))
 
 
+def class_examples(classified: DataFrame, n: int = 10) -> DataFrame:
+    """(row_type, missing_from_source1, source1_entity_id): the n smallest ids of each class, a feature of the report. Only n ids of a class and partition meet."""
+    rank = F.row_number().over(Window.partitionBy("row_type", "missing_from_source1").orderBy("source1_entity_id"))
+    ids = classified.select("row_type", "missing_from_source1", "source1_entity_id").distinct()
+    return ids.withColumn("_r", rank).where(F.col("_r") <= n).drop("_r")
+
+
 def strata(classified: DataFrame, ids: DataFrame) -> DataFrame:
     """Splittable rows with country_norm and stratum."""
     rows = classified.where(F.col("row_type").isin("singleton", "matched") & ~F.col("missing_from_source1"))

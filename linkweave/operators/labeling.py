@@ -31,6 +31,12 @@ def true_pairs(gt: DataFrame, strip_tokens: bool = False) -> DataFrame:
     return rows.distinct()
 
 
+def blank_tokens(gt: DataFrame) -> DataFrame:
+    """One row: how many blank tokens the lists of matches hold; a list that is blank as a whole holds none."""
+    tokens = F.filter(F.split("matched_entity_ids", ",", -1), lambda t: strip(t) == "")
+    return gt.where(strip(F.col("matched_entity_ids")) != "").agg(F.coalesce(F.sum(F.size(tokens)), F.lit(0)).cast("long").alias("blank_tokens"))
+
+
 def candidate_tokens(candidates: DataFrame, splits: DataFrame) -> DataFrame:
     """(source1_entity_id, split, candidate_entity_id) of all tokens of rows that belong to a split."""
     rows = candidates.join(splits, "source1_entity_id").where(F.coalesce("candidate_entity_ids", F.lit("")) != "")

@@ -49,6 +49,7 @@ def split(spark: SparkSession, a: argparse.Namespace) -> None:
     report = {
         "duplicate_rows": G.duplicate_rows(s1, chunk_size=a.chunk_size).first()[0],
         "classes": [r.asDict() for r in G.class_counts(classified).toLocalIterator()],
+        "class_examples": [r.asDict() for r in G.class_examples(classified).toLocalIterator()],
         "strata": [r.asDict() for r in G.stratum_sizes(strata, a.val_fraction, a.min_stratum_size).toLocalIterator()],
         "splits": [r.asDict() for r in G.split_summary(done).toLocalIterator()],
     }
@@ -90,6 +91,7 @@ def label(spark: SparkSession, a: argparse.Namespace) -> None:
     tsv.write_tsv(features.select(*columns, "split"), f"{a.output}/pairs", "overwrite", ("split",))
     report = {
         "validation": L.validate_candidates(found, splits).first().asDict(),
+        "blank_tokens": L.blank_tokens(gt).first()[0],
         "class_balance": [r.asDict() for r in L.class_balance(labeled).toLocalIterator()],
         "blocking_recall": [r.asDict() for r in L.blocking_recall(truth, labeled, splits).toLocalIterator()],
         "zero_candidates": [r.asDict() for r in L.zero_candidates(found, truth, splits).toLocalIterator()],

@@ -163,7 +163,40 @@ _FEATURES = f"""f AS (SELECT l.*, c.entity_id IS NULL AS missing_source1, p.enti
  coalesce(c.business_address_norm, '') AS a1, coalesce(p.address, '') AS a2, lower(coalesce(c.country_norm, '')) AS k1, coalesce(p.country, '') AS k2
  FROM labeled l LEFT JOIN clean1 c ON l.source1_entity_id = c.entity_id LEFT JOIN pool0 p ON l.candidate_entity_id = p.entity_id)"""
 
-_PLAIN = r"""'S' || regexp_extract(trim({0}, ' ' || chr(9) || chr(10) || chr(13) || chr(160)), '^[sS]([123])', 1) || '-' || regexp_extract(trim({0}, ' ' || chr(9) || chr(10) || chr(13) || chr(160)), '^[sS][123][-_ –]0*(\d+?)(\.0)?$', 1)"""
+_BARE = "upper(trim({0}, ' ' || chr(9) || chr(10) || chr(13) || chr(160)))"
+#: A record id in plain form, null where the value denotes no record.
+_PLAIN = rf"""CASE WHEN regexp_full_match({_BARE}, 'S[123][-_ –]+[0-9]+(\.0*)?') THEN 'S' || regexp_extract({_BARE}, 'S([123])', 1) || '-' || regexp_extract({_BARE}, 'S[123][-_ –]+0*([0-9]+)', 1) END"""
+_JUDGED = f"""judged AS (SELECT DISTINCT {_PLAIN.format('source1_entity_id')} AS s, {_PLAIN.format('candidate_entity_id')} AS c FROM train_pairs),
+ first AS (SELECT entity_id, arg_min(struct_pack(n := business_name_norm), row_ordinal).n AS n FROM records GROUP BY 1),
+ t AS (SELECT s, c, coalesce(first.n, '') AS x, coalesce(pool.name, '') AS y FROM judged JOIN first ON s = first.entity_id JOIN pool ON c = pool.entity_id), want AS (SELECT DISTINCT x AS a, y AS b FROM t WHERE x <> '' AND y <> '')"""
+
+_DEFAULT = cfg.CandidateConfig()
+_BLOCKS = f"""blocks AS (SELECT row_id, entity_id FROM (SELECT q.row_id, p.entity_id, row_number() OVER (PARTITION BY q.row_id ORDER BY p.entity_id) AS r
+ FROM q JOIN pool0 p ON q.country = p.country AND left(q.name, {_DEFAULT.fuzzy_prefix_length}) = left(p.name, length(left(q.name, {_DEFAULT.fuzzy_prefix_length}))) WHERE length(q.name) >= 3) WHERE r <= {_DEFAULT.fuzzy_block_limit} UNION
+ SELECT row_id, entity_id FROM (SELECT q.row_id, a.entity_id, row_number() OVER (PARTITION BY q.row_id ORDER BY a.entity_id) AS r
+ FROM (SELECT *, {_ANCHOR.format("coalesce(nullif(core, ''), name)")} AS anchor FROM q WHERE length(name) >= 3) q JOIN anchors a ON q.country = a.country AND q.anchor = a.anchor) WHERE r <= {_DEFAULT.fuzzy_block_limit})"""
+#: Scores of the pairs in blocks: compared texts (x, y) with kind 'r' for ratio on them and 't' for the token sets; only pairs of texts whose lengths allow the threshold are measured.
+_FUZZY = f"""{_BLOCKS}, sides AS (SELECT DISTINCT q.name, q.core, p.name AS c_name, p.name_core AS c_core, p.name_alt AS c_alt FROM blocks JOIN q USING (row_id) JOIN pool0 p ON blocks.entity_id = p.entity_id),
+ texts AS (SELECT DISTINCT x, y, k FROM (SELECT name AS x, c_name AS y, 'rt' AS k FROM sides UNION ALL SELECT name, c_alt, 't' FROM sides WHERE c_alt <> '' UNION ALL SELECT core, c_core, 'rt' FROM sides WHERE core <> '' AND c_core <> '')),
+ sets AS (SELECT *, list_sort(list_intersect(ta, tb)) AS ti, list_sort(list_filter(ta, lambda w: NOT list_contains(tb, w))) AS da, list_sort(list_filter(tb, lambda w: NOT list_contains(ta, w))) AS db
+ FROM (SELECT *, list_distinct(list_filter(string_split(x, ' '), lambda w: w <> '')) AS ta, list_distinct(list_filter(string_split(y, ' '), lambda w: w <> '')) AS tb FROM texts)),
+ parts AS (SELECT *, array_to_string(da, ' ') AS ra, array_to_string(db, ' ') AS rb, length(array_to_string(ti, ' ')) AS sect FROM sets),
+ sized AS (SELECT *, length(x) AS lx, length(y) AS ly, length(ra) AS la, length(rb) AS lb, CASE WHEN sect > 0 THEN 1 ELSE 0 END AS s FROM parts),
+ want AS (SELECT x AS a, y AS b FROM sized WHERE k = 'rt' AND 200.0 * least(lx, ly) >= {_DEFAULT.fuzzy_threshold} * (lx + ly) UNION SELECT ra, rb FROM sized WHERE len(ta) > 0 AND len(tb) > 0 AND (200.0 * (sect + s + least(la, lb)) >= {_DEFAULT.fuzzy_threshold} * (2 * (sect + s) + la + lb))),
+ {_LCS},
+ scored AS (SELECT x, y, max(greatest(CASE WHEN k = 'rt' AND lx + ly = 0 THEN 100.0 WHEN k = 'rt' AND f.n IS NOT NULL THEN 200.0 * f.n / (lx + ly) ELSE 0 END,
+ CASE WHEN len(ta) = 0 OR len(tb) = 0 THEN 0.0 WHEN sect > 0 AND (la = 0 OR lb = 0) THEN 100.0 ELSE greatest(CASE WHEN r.n IS NOT NULL THEN 100.0 - 100.0 * (la + lb - 2 * r.n) / (2 * (sect + s) + la + lb) ELSE 0 END,
+ CASE WHEN sect > 0 THEN 100.0 - 100.0 * (s + la) / (sect + sect + s + la) ELSE 0 END, CASE WHEN sect > 0 THEN 100.0 - 100.0 * (s + lb) / (sect + sect + s + lb) ELSE 0 END) END)) AS score
+ FROM sized LEFT JOIN lcs f ON x = f.a AND y = f.b LEFT JOIN lcs r ON ra = r.a AND rb = r.b GROUP BY 1, 2),
+ fuzzy AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY row_id ORDER BY score DESC, entity_id) AS pos FROM (SELECT b.row_id, b.entity_id, greatest(n.score, coalesce(o.score, 0), coalesce(c.score, 0)) AS score
+ FROM blocks b JOIN q USING (row_id) JOIN pool0 p ON b.entity_id = p.entity_id JOIN scored n ON n.x = q.name AND n.y = p.name LEFT JOIN scored o ON p.name_alt <> '' AND o.x = q.name AND o.y = p.name_alt
+ LEFT JOIN scored c ON q.core <> '' AND p.name_core <> '' AND c.x = q.core AND c.y = p.name_core) WHERE score >= {_DEFAULT.fuzzy_threshold}) WHERE pos <= {_DEFAULT.fuzzy_top_k})"""
+_ALL_FIVE = f"""{_FUZZY}, rows AS (SELECT row_id, entity_id, min(struct_pack(s := s, p := p)) AS o FROM (SELECT *, 0 AS s, 0 AS p FROM ({_capped('name', 'name', _DEFAULT.exact_limit)}) UNION ALL SELECT *, 1, 0 FROM ({_capped('core', 'name_core', _DEFAULT.exact_limit)})
+ UNION ALL SELECT *, 1, 0 FROM ({_capped('alt', 'name_alt', _DEFAULT.exact_limit)}) UNION ALL SELECT *, 2, 0 FROM ({_capped('address', 'address', _DEFAULT.exact_limit)}) UNION ALL SELECT *, 3, 0 FROM ({_ADDRESS_KEYS.format(_DEFAULT.address_key_max_frequency)})
+ UNION ALL SELECT row_id, entity_id, 4, pos FROM fuzzy) GROUP BY 1, 2),
+ merged AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY row_id ORDER BY o.s, o.p, entity_id) AS rank FROM rows) WHERE rank <= {_DEFAULT.max_candidates}),
+ lists AS (SELECT ordinal AS row_id, any_value(c.entity_id) AS source1_entity_id, coalesce(string_agg(m.entity_id, ',' ORDER BY rank), '') AS candidate_entity_ids, count(m.entity_id) AS n_candidates
+ FROM clean1 c LEFT JOIN merged m ON c.ordinal = m.row_id GROUP BY 1)"""
 
 ORACLE: dict[str, str] = {
     "q_clean_country": _with("clean1", "SELECT entity_id, country, country_norm FROM clean1"),
@@ -225,6 +258,11 @@ ORACLE: dict[str, str] = {
         _SETS,
         True,
     ),
+    "q_fuzzy_candidates": _with("q pool0 anchors", "SELECT row_id, entity_id, round(score, 6) AS score, pos FROM fuzzy", _FUZZY, True),
+    "q_candidate_lists": _with("q clean1 pool0 anchors akeys qkeys", "SELECT * FROM lists", _ALL_FIVE, True),
+    "q_record_pair_similarity": f"WITH RECURSIVE {_JUDGED}, {_LCS} SELECT s, c, round(CASE WHEN x = '' OR y = '' THEN 0.0 ELSE 2.0 * n / (length(x) + length(y)) END, 6) AS name_similarity FROM t LEFT JOIN lcs ON x = a AND y = b",
+    "q_gt_class_examples": _with("classed", "SELECT row_type, missing_from_source1, source1_entity_id FROM (SELECT *, row_number() OVER (PARTITION BY row_type, missing_from_source1 ORDER BY source1_entity_id) AS r FROM (SELECT DISTINCT row_type, missing_from_source1, source1_entity_id FROM classed)) WHERE r <= 10"),
+    "q_gt_blank_tokens": _with("ground_truth", "SELECT CAST(coalesce(sum(len(list_filter(string_split(matched_entity_ids, ','), lambda t: trim(t) = ''))), 0) AS BIGINT) AS blank_tokens FROM ground_truth WHERE trim(matched_entity_ids) <> ''"),
     "q_merge": _with("q clean1 pool0 akeys qkeys", "SELECT row_id, entity_id, strategy, rank FROM merged", _MERGED),
     "q_candidate_lists_exact": _with("q clean1 pool0 akeys qkeys", "SELECT * FROM lists", _MERGED),
     "q_generation_report": _with(

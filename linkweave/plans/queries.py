@@ -17,6 +17,7 @@ from linkweave.operators import ground_truth as G
 from linkweave.operators import labeling as L
 from linkweave.operators import packed
 from linkweave.operators import pool as P
+from linkweave.plans.lineage import Scratch
 from linkweave.sources.derived import derived
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -261,7 +262,8 @@ def q_token_set_ratio(spark, d):
 
 @query
 def q_fuzzy_candidates(spark, d):
-    return B.fuzzy_name(lookups(spark, d), pool(spark, d), CONFIG).withColumn("score", F.round("score", 6))
+    scratch = Scratch(spark, "fuzzy")
+    return B.fuzzy_name(scratch.write(lookups(spark, d)), scratch.write(pool(spark, d)), CONFIG).withColumn("score", F.round("score", 6))
 
 
 _NO_FUZZY = CandidateConfig(enabled_strategies=("exact_name", "exact_name_alt", "exact_address", "address_key"), max_candidates=20)
@@ -273,7 +275,7 @@ def q_merge(spark, d):
 
 
 def _lists(spark, d, config):
-    s1 = cleaned(spark, d, 1)
+    s1 = Scratch(spark, "cleaned").write(cleaned(spark, d, 1))
     return B.candidate_lists(s1, B.generate_candidates(s1, pool(spark, d), config))
 
 
@@ -300,6 +302,16 @@ def q_smoke_selector(spark, d):
 # labelling
 
 
+@query
+def q_gt_class_examples(spark, d):
+    return G.class_examples(_classified(spark, d))
+
+
+@query
+def q_gt_blank_tokens(spark, d):
+    return L.blank_tokens(derived(spark, d, "ground_truth"))
+
+
 @query
 def q_candidate_validation(spark, d):
     return L.validate_candidates(derived(spark, d, "candidates"), _splits(spark, d))

@@ -2,10 +2,12 @@ import random
 import re
 
 import pytest
+from hypothesis import given
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from linkweave.functions import keys, text
-from linkweave.functions.similarity import best_score, lcs_length, ratio, token_set_ratio
+from linkweave.functions.similarity import best_score, lcs_length, ratio, score_bound, token_set_ratio
 from linkweave.operators import cleaning as C
 
 
@@ -105,3 +107,14 @@ def test_similarities():
 def test_first_match_ignores_blank(spark):
     assert one(spark, "ab  cd", lambda c: text.first_match(c, r"\s+")) is None
     assert re.match("x", "x")
+
+
+@given(st.lists(st.text(alphabet="abc d", max_size=12), min_size=5, max_size=5), st.sampled_from([1.0, 50.0, 78.0, 100.0]))
+def test_bound_changes_no_score_that_counts(t, least):
+    full, bounded = best_score(*t), best_score(*t, least)
+    assert bounded == full if full >= least else bounded in (0.0, full)
+
+
+def test_bound_of_texts_that_repeat_letters():
+    assert score_bound("a" * 40 + " x", "a" * 40 + " y") == 100.0  # more than a lane holds
+    assert score_bound("abc", "abc def") == 100.0 and score_bound("", "") == 100.0 and score_bound("abcd", "efgh") == 0.0
