@@ -117,14 +117,6 @@ def near_words(a: str, b: str) -> bool:
     return not far_words(a, b) and len(a) + len(b) - 2 * lcs_length(a, b) <= allowed(a, b)
 
 
-def far_names(u: str, v: str) -> bool:
-    """A cheap condition that the exact check excludes, of names of two words each."""
-    a, b = u.split(" "), v.split(" ")
-    if len(a) != 2 or len(b) != 2:
-        return False
-    return (far_words(a[0], b[0]) or far_words(a[1], b[1])) and (far_words(a[0], b[1]) or far_words(a[1], b[0]))
-
-
 def two_words(x: str, y: str, count: dict[str, int]) -> bool:
     """Whether both are words in their own right: neither is rare beside the other, as a slip would be."""
     few, many = sorted((count.get(x, 1), count.get(y, 1)))
@@ -170,12 +162,26 @@ def gram_weights(keys: DataFrame) -> tuple[dict[str, float], float]:
     return {r["g"]: math.sqrt(math.log(1.0 + n / r["df"])) for r in rows}, math.sqrt(math.log(1.0 + n))
 
 
+def _letters(word: Column) -> Column:
+    """The letters that occur in word, as bits."""
+    return F.aggregate(F.split(word, ""), F.lit(0), lambda bits, x: bits.bitwiseOR(F.call_function("shiftleft", F.lit(1), F.ascii(x) - 97)))
+
+
 def with_word_counts(keys: DataFrame) -> DataFrame:
-    """keys (family, support) plus id, words and counts: in how many spellings each of the words occurs. The result must be written before its ids are used."""
+    """keys (family, support) plus id, words, counts (in how many spellings each of the words occurs), and what the similarity join carries: w1, w2 (the two words, else the name and ''), m1, m2 (their letters), s1, s2 (letters that allowed allows them), c1, c2 (their counts; of three words or more the least and the highest) and k (words: 1, 2, or 3 for more).
+
+    The result must be written before its ids are used.
+    """
     at = keys.select("family", "support", F.posexplode(F.split("family", " ")).alias("pos", "word"))
     n = at.groupBy("word").agg(F.count(F.lit(1)).alias("n"))
     joined = at.join(n, "word").groupBy("family", "support").agg(F.array_sort(F.collect_list(F.struct("pos", "word", "n"))).alias("w"))  # the words of one name
-    return joined.select(F.monotonically_increasing_id().alias("id"), "family", "support", F.col("w.word").alias("words"), F.col("w.n").alias("counts"))
+    counted = joined.select(F.monotonically_increasing_id().alias("id"), "family", "support", F.col("w.word").alias("words"), F.col("w.n").alias("counts"))
+    two = F.size("words") == 2
+    first, second = F.when(two, F.col("words")[0]).otherwise(F.col("family")), F.when(two, F.col("words")[1]).otherwise("")
+    c1, c2 = F.when(two, F.col("counts")[0]).otherwise(F.array_min("counts")), F.when(two, F.col("counts")[1]).otherwise(F.array_max("counts"))
+    slip = lambda w: F.when(F.length(w) <= 3, 0).when(F.length(w) <= 6, 2).when(F.length(w) <= 11, 4).otherwise(5)
+    carried = {"w1": first, "w2": second, "m1": _letters(first), "m2": _letters(second), "s1": slip(first), "s2": slip(second), "c1": c1.cast("int"), "c2": c2.cast("int"), "k": F.least(F.size("words"), F.lit(3))}
+    return counted.select("*", *(c.alias(n) for n, c in carried.items()))
 
 
 def _join_keys() -> Column:
@@ -191,35 +197,29 @@ def _join_keys() -> Column:
     return F.expr(f"array_distinct(concat(transform(words, w -> xxhash64(w)), CASE WHEN size(words) = 1 THEN {one} ELSE {two} END))")
 
 
-def _slip(x: str, y: str) -> Column:
-    """A condition that near_words implies: it counts letters left out and put in, which are never fewer than the edits."""
-    n, d = F.greatest(F.length(x), F.length(y)), F.levenshtein(x, y, 5)
-    return (d >= 0) & (d <= F.when(n <= 3, 0).when(n <= 6, 2).when(n <= 11, 4).otherwise(5))
+def _slip(i: int, j: int) -> Column:
+    """Whether word i of u and word j of v may pass near_words, which counts letters left out and put in: never fewer than the letters that only one word has, nor than the edits."""
+    most = F.greatest(f"u_s{i}", f"v_s{j}")
+    return (F.bit_count(F.col(f"u_m{i}").bitwiseXOR(F.col(f"v_m{j}"))) <= most) & (F.levenshtein(f"u_w{i}", f"v_w{j}") <= most)
 
 
 def candidate_spellings(keys: DataFrame) -> DataFrame:
-    """(u, v, u_id, v_id, u_c1, u_c2, v_c1, v_c2): each two spellings that share a join key and are near enough for the exact check, once. c1, c2: counts of the words in order; of three words or more the least and the highest.
+    """(u, v, u_id, v_id, u_c1, u_c2, v_c1, v_c2): each two spellings that share a join key and are near enough for the exact check, once.
 
-    keys: of with_word_counts, written. All spellings meet all others; the distances in the join only leave out what the exact check can't accept. Both sides are one exchange.
+    keys: of with_word_counts, written. All spellings meet all others; the conditions of the join only leave out what the exact check can't accept. Both sides are one exchange. The conditions are kept
+    short: longer ones make a method that the JVM runs uncompiled.
     """
-    two = F.size("words") == 2
-    first, second = F.when(two, F.col("words")[0]).otherwise(F.col("family")), F.when(two, F.col("words")[1]).otherwise("")
-    c1, c2 = F.when(two, F.col("counts")[0]).otherwise(F.array_min("counts")), F.when(two, F.col("counts")[1]).otherwise(F.array_max("counts"))
-    index = keys.select(F.explode(_join_keys()).alias("g"), "id", first.alias("w1"), second.alias("w2"), c1.cast("int").alias("c1"), c2.cast("int").alias("c2"))
+    index = keys.select(F.explode(_join_keys()).alias("g"), "id", "w1", "w2", "m1", "m2", "s1", "s2", "c1", "c2", "k")
     side = lambda x: index.select("g", *(F.col(c).alias(f"{x}_{c}") for c in index.columns if c != "g"))
     c = F.col
-    straight, crossed = _slip("u_w1", "v_w1") & _slip("u_w2", "v_w2"), _slip("u_w1", "v_w2") & _slip("u_w2", "v_w1")
-    by_word = F.when(c("u_w1") == c("v_w1"), _slip("u_w2", "v_w2")).when(c("u_w2") == c("v_w2"), _slip("u_w1", "v_w1")).otherwise(straight | crossed)
     # where all words are words in their own right, whatever they are compared with, none is a slip
     few, many = F.least("u_c1", "u_c2", "v_c1", "v_c2"), F.greatest("u_c1", "u_c2", "v_c1", "v_c2")
-    slips = (few < SEEN) | (few * RARER < many) | (c("u_w2") == "") | (c("v_w2") == "")
-    # one word for two, or a third word: compared without spaces, in either order of the words
-    bare = lambda x, y: F.replace(F.concat(x, y), F.lit(" "), F.lit(""))
-    near = lambda x, y: F.levenshtein(x, y, 5) >= 0
-    whole = near(bare("u_w1", "u_w2"), bare("v_w1", "v_w2")) | near(bare("u_w2", "u_w1"), bare("v_w1", "v_w2")) | near(bare("u_w1", "u_w2"), bare("v_w2", "v_w1"))
-    more_words = c("u_w1").contains(" ") | c("v_w1").contains(" ")  # of three words or more, two may be the name
-    alike = F.when((c("u_w2") != "") & (c("v_w2") != ""), by_word).otherwise(whole | more_words)
-    shared = side("u").join(side("v"), "g").where((c("u_id") < c("v_id")) & slips & alike)
+    slips = (few < SEEN) | (few * RARER < many)
+    by_word = slips & ((_slip(1, 1) & _slip(2, 2)) | (_slip(1, 2) & _slip(2, 1)))
+    # one word for two is compared written together; of three words or more, two may be the name
+    together = F.bit_count(c("u_m1").bitwiseOR(c("u_m2")).bitwiseXOR(c("v_m1").bitwiseOR(c("v_m2")))) <= 5
+    alike = F.when((c("u_k") == 2) & (c("v_k") == 2), by_word).otherwise((F.greatest("u_k", "v_k") == 3) | together)
+    shared = side("u").join(side("v"), "g").where((c("u_id") < c("v_id")) & alike)
     name = lambda x: F.trim(F.concat_ws(" ", f"{x}_w1", f"{x}_w2")).alias(x)
     return shared.select(name("u"), name("v"), *(f"{x}_{n}" for x in "uv" for n in ("id", "c1", "c2"))).distinct()
 
@@ -240,7 +240,7 @@ def similar_spellings(keys: DataFrame, weights: tuple[dict[str, float], float])
         for columns in it:
             out = []
             for a, b, a1, a2, b1, b2 in zip(*columns):
-                c = 0.0 if far_names(a, b) else measure.names(a, b)
+                c = measure.names(a, b)
                 out.append(c if c >= THRESHOLD and same_words(a, b, _counts(a, a1, a2) | _counts(b, b1, b2)) else 0.0)
             yield pd.Series(out, dtype="float64")
 
