@@ -164,7 +164,7 @@ def gram_weights(keys: DataFrame) -> tuple[dict[str, float], float]:
 
 def _letters(word: Column) -> Column:
     """The letters that occur in word, as bits."""
-    return F.aggregate(F.split(word, ""), F.lit(0), lambda bits, x: bits.bitwiseOR(F.call_function("shiftleft", F.lit(1), F.ascii(x) - 97)))
+    return F.aggregate(F.filter(F.split(word, ""), lambda x: x != ""), F.lit(0), lambda bits, x: bits.bitwiseOR(F.call_function("shiftleft", F.lit(1), F.ascii(x) - 97)))
 
 
 def with_word_counts(keys: DataFrame) -> DataFrame:
