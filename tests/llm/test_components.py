@@ -3,7 +3,7 @@ import random
 import pytest
 
 from linkweave.llm import components
-from linkweave.llm.components import connected_components, linked_records, plain_id_components
+from linkweave.llm.components import components_of_groups, connected_components, linked_records, plain_id_components
 
 
 def brute(edges):
@@ -60,3 +60,15 @@ def test_linked_records(spark):
 def test_rounds_end(spark):
     with pytest.raises(RuntimeError):
         connected_components(spark.createDataFrame([(i, i + 1) for i in range(50)], "a long, b long"), max_rounds=1)
+
+
+def test_stars_are_settled_at_once(spark):
+    stars = spark.createDataFrame([(10 * i, 10 * i + k) for i in range(5) for k in (1, 2, 3)], "a long, b long")
+    assert {r["id"]: r["group_id"] for r in connected_components(stars, max_rounds=1).collect()} == {10 * i + k: 10 * i for i in range(5) for k in range(4)}
+
+
+def test_components_of_groups(spark):
+    rng = random.Random(2)
+    groups = [rng.sample(range(300), rng.choice([1, 2, 3, 5])) for _ in range(90)]
+    found = components_of_groups(spark.createDataFrame([(g,) for g in groups] + [([],)], "ids array<long>"), "ids").collect()
+    assert {r["id"]: r["group_id"] for r in found} == brute([(g[0], x) for g in groups for x in g])

@@ -61,3 +61,11 @@ def test_block_pairs_in_pieces():
         pieces = [list(zip(i.tolist(), j.tolist())) for i, j in block_pairs(key, most)]
         assert sorted(p for piece in pieces for p in piece) == sorted(want)
     assert not list(block_pairs(key[:0], 5))
+
+
+def test_names_that_share_a_word_meet_under_it_only():
+    names = ["bralotis nemugard", "bralotis nemugart", "bralutis nemugarb"]  # the first two share a word, which is key 1; all have key 2
+    rows = [(1, 0), (1, 1), (2, 0), (2, 1), (2, 2)]
+    table = pa.table({"g": pa.array([g for g, _ in rows]), "id": pa.array([i for _, i in rows]), "family": pa.array([names[i] for _, i in rows]), "c1": pa.array([1] * 5, pa.int32()), "c2": pa.array([1] * 5, pa.int32())})
+    batches = list(name_links._block_scores(table, weight_table({}, 1.0), name_links.NameCosine({}, 1.0)))
+    assert sorted(tuple(r[c] for c in ("u_id", "v_id")) for b in batches for r in b.to_pylist()) == [(0, 1), (0, 2), (1, 2)]
