@@ -242,3 +242,24 @@ def test_pairs_of_a_sliced_group(spark):
     df = spark.range(2500).selectExpr("'g' AS g", "lpad(id, 5, '0') AS m")
     out = pairs_within(df, "g", "m", "a", "b")
     assert out.count() == 2500 * 2499 // 2 == out.distinct().count()
+
+
+def test_all_names_of_a_row_are_one_organisation_and_one_is_marked(spark):
+    r = records(spark, [("S1-1", "kolupart nizagrom foods dba velatrist hupogand mart", ""), ("S1-2", "velatrist hupogand mart", ""), ("S1-3", "fosikust mubrajeth trelomand plumbers", "")])
+    scratch = Scratch(spark, "marked")
+    out = name_links.organisations(scratch.write(name_links.named_rows(r, pool(spark, []))), scratch)[0].collect()
+    assert sorted(x["entity_id"] for x in out) == ["S1-1", "S1-1", "S1-2", "S1-3"] and sorted(x["entity_id"] for x in out if x["first"]) == ["S1-1", "S1-2", "S1-3"]
+    assert len({x["org"] for x in out if x["entity_id"] != "S1-3"}) == 1
+
+
+def test_counts_of_names_of_any_length(spark):
+    names = ["bralotis nemugard", "bralotis", "nemugard bralotis trelomand", "zozumix"]
+    rows = name_links.with_word_counts(spark.createDataFrame([(n, 1) for n in names], "family string, support long")).collect()
+    count = {"bralotis": 3, "nemugard": 2, "trelomand": 1, "zozumix": 1}
+    assert {r["family"]: (r["words"], r["counts"]) for r in rows} == {n: (n.split(), [count[w] for w in n.split()]) for n in names}
+
+
+def test_pairs_need_no_known_matches(spark):
+    home = "438 zozumix road, pafalpatti 15677"
+    found = entity_matching.match_pairs(records(spark, [("S1-1", "fosikust mubrajeth plumbers", home)]), pool(spark, [("S2-1", "mubrajeth fosikust plmbg", "", home)]), alias(spark))
+    assert [tuple(x) for x in found.collect()] == [("S1-1", "S2-1", 0)]
