@@ -72,3 +72,18 @@ def test_components_of_groups(spark):
     groups = [rng.sample(range(300), rng.choice([1, 2, 3, 5])) for _ in range(90)]
     found = components_of_groups(spark.createDataFrame([(g,) for g in groups] + [([],)], "ids array<long>"), "ids").collect()
     assert {r["id"]: r["group_id"] for r in found} == brute([(g[0], x) for g in groups for x in g])
+
+
+def test_settled_clusters_take_no_part_in_later_rounds(spark, monkeypatch):
+    rows, write = [], components.Scratch.write
+
+    def counted(self, df, *rest):
+        out = write(self, df, *rest)
+        if self.root.rpartition("/")[2].startswith("components") and df.columns == ["v", "u"]:
+            rows.append(out.count())
+        return out
+
+    monkeypatch.setattr(components.Scratch, "write", counted)
+    edges = [(10 * i, 10 * i + k) for i in range(500) for k in (1, 2, 3)] + [(i, i + 1) for i in range(9000, 9040)] + [(9020, 4), (4993, 9100)]
+    assert run(spark, edges) == brute(edges)
+    assert rows[-1] < 500 < 2000 < rows[0]
